@@ -56,8 +56,8 @@ def scan_any(spark: SparkSession, path: str) -> DataFrame:
         return scan_text_lines(spark, path)
     table = scan_csv(spark, path)
     if "text_clean" not in table.columns:
-        sep = _separator(spark, path)
-        table = scan_csv(spark, path, sep=sep) if sep != "," else table
+        other = scan_csv(spark, path, sep=_separator(spark, path))
+        table = other if "text_clean" in other.columns else table
     if "text_clean" in table.columns:
         text = [filled("text_clean").alias("text")]
         return table.select(*text, *([filled("label").alias("label")]
