@@ -6,7 +6,7 @@ from importlib import import_module
 
 from subjectloom.plans import catalog
 
-_STAGES = ("cleaning", "labelling")
+_STAGES = ("cleaning", "labelling", "storage", "scoring", "evaluation", "modelling")
 
 
 def _load() -> None:

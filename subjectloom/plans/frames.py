@@ -104,10 +104,11 @@ def _scores(tokens: Column, text: Column, model: str) -> Column:
     scale, q_scale, t_scale, words = SCORERS[model]
     size = F.greatest(F.size(tokens), F.lit(1))
     one = F.lit(1.0)
-    cells = [
-        F.least(one, F.size(F.filter(tokens, lambda w, c=c: w.isin(*words[c]))) / size * scale)
-        for c in ("de", "en", "es", "fr")
-    ]
+
+    def marked(names: tuple[str, ...]) -> Column:
+        return F.size(F.filter(tokens, lambda w: w.isin(*names)))
+
+    cells = [F.least(one, marked(words[c]) / size * scale) for c in ("de", "en", "es", "fr")]
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
     other = (F.length(text) - letters) / F.greatest(F.length(text), F.lit(1))
     cells.append(F.least(one, F.size(F.array_distinct(tokens)) / size * q_scale))
