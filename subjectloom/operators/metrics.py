@@ -16,10 +16,12 @@ def confusion_per_class(
     df: DataFrame, vocabulary: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """``(by…, class_idx, label, tp, fp, fn, tn)``. A pair of 0/1 cells becomes one number,
-    so what is exploded is one small integer per document and class."""
+    so what is exploded is one small integer per document and class. (The outer form keeps the
+    optimiser from adding a filter that would work out ``y`` and ``p`` twice.)"""
     cells = F.zip_with("y", "p", lambda t, q: t * 2 + q)
     counted = (
-        df.select(*by, F.posexplode(cells).alias("class_idx", "cell"))
+        df.select(*by, F.posexplode_outer(cells).alias("class_idx", "cell"))
+        .where(F.col("class_idx").isNotNull())
         .groupBy(*by, "class_idx")
         .agg(
             F.count_if(F.col("cell") == 3).alias("tp"),

@@ -8,7 +8,7 @@ from subjectloom.functions import stemming
 from subjectloom.functions import text as X
 from subjectloom.operators.tokens import distinct_tokens, lemmatize_tokens, stem_tokens
 from subjectloom.plans.catalog import query, with_ctes
-from subjectloom.plans.frames import documents, table
+from subjectloom.plans.frames import table, texts
 
 _W = f"[{X.WORD}]"
 _S = f"[{X.SPACE}]"
@@ -67,7 +67,7 @@ CLEAN_CTES = (BARE, TOKENS, WORDS, CLEAN)
 
 @query("text_lower", "SELECT doc_id, lower(text) AS text_lower FROM documents")
 def text_lower(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", X.lowercase(F.col("text")).alias("text_lower"))
+    return texts(spark, sf_dir).select("doc_id", X.lowercase(F.col("text")).alias("text_lower"))
 
 
 @query("strip_urls", f"""
@@ -81,14 +81,14 @@ def strip_urls(spark, sf_dir):
 
 @query("strip_numbers", f"SELECT doc_id, {_numbers('lower(text)')} AS stripped FROM documents")
 def strip_numbers(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", X.strip_numbers(X.lowercase(F.col("text"))).alias("stripped")
     )
 
 
 @query("strip_punct", f"SELECT doc_id, translate(text, '{_PUNCT}', '') AS stripped FROM documents")
 def strip_punct(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", X.strip_punctuation(F.col("text")).alias("stripped")
     )
 
@@ -97,7 +97,7 @@ def strip_punct(spark, sf_dir):
 SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, '|') AS tokens FROM tokens""")
 def tokenize(spark, sf_dir):
     tokens = X.tokenize(X.bare_text(F.col("text")))
-    return documents(spark, sf_dir).select("doc_id", tokens.alias("t")).select(
+    return texts(spark, sf_dir).select("doc_id", tokens.alias("t")).select(
         "doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", "|").alias("tokens")
     )
 
@@ -106,7 +106,7 @@ def tokenize(spark, sf_dir):
 SELECT doc_id, array_to_string(tokens, ' ') AS words FROM words""")
 def stopword_filter(spark, sf_dir):
     tokens = X.tokenize(X.bare_text(F.col("text")))
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", F.array_join(X.keep_words(tokens), " ").alias("words")
     )
 
@@ -116,20 +116,20 @@ SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda t: le
   AS kept FROM documents""")
 def min_len_filter(spark, sf_dir):
     tokens = F.split("text", " ")
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", F.array_join(X.drop_short(tokens, 4), " ").alias("kept")
     )
 
 
 @query("normalize_text", with_ctes(*CLEAN_CTES) + " SELECT doc_id, text_clean FROM clean")
 def normalize_text(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", X.normalize_text(F.col("text")).alias("text_clean")
     )
 
 
 def _word_frame(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", X.word_tokens(F.col("text")).alias("tokens"))
+    return texts(spark, sf_dir).select("doc_id", X.word_tokens(F.col("text")).alias("tokens"))
 
 
 def _joined(df):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from subjectloom.functions.labels import multi_hot, subjects
 from subjectloom.operators.splitting import split_random
+from subjectloom.sources.readers import spread
 
 # Top-level labels of the test corpus: four languages, a quality mark, a toxicity mark.
 CLASSES = ("de", "en", "es", "fr", "q", "t")
@@ -21,6 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)``, spread over the cores for work on whole texts."""
+    return spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+
+
 def _marks(quality: Column, toxic: Column) -> Column:
     good = F.when(quality == 1, " q.good").otherwise("")
     bad = F.when(toxic == 1, " t.toxic").otherwise("")
@@ -133,7 +139,7 @@ def lexical_scorer(model: str):
 
 def scored(spark: SparkSession, sf_dir: str, model: str = "both") -> DataFrame:
     """``(doc_id, y, scores)`` of one scorer, with the true label vector."""
-    df = subject_sets(spark, sf_dir)
+    df = spread(subject_sets(spark, sf_dir), "doc_id")
     return lexical_scorer(model)(df).select(
         "doc_id", multi_hot(F.col("labels"), CLASSES).alias("y"), "scores"
     )
@@ -141,12 +147,12 @@ def scored(spark: SparkSession, sf_dir: str, model: str = "both") -> DataFrame:
 
 def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, model, scores)`` of all scorers, the text being read and split once."""
-    df = with_words(documents(spark, sf_dir).select("doc_id", "text"))
+    df = with_words(texts(spark, sf_dir))
     models = F.array(*[
         F.struct(F.lit(m).alias("model"), _scores(F.col("words"), F.col("text"), m).alias("scores"))
         for m in SCORERS
     ])
-    return df.select("doc_id", F.inline(models))
+    return df.select("doc_id", F.inline_outer(models))
 
 
 def _marker_rows() -> str:
@@ -215,10 +221,9 @@ BITS = "string_agg(p::VARCHAR, '' ORDER BY class_idx)"
 
 
 def long_scores(df: DataFrame, id_col: str, column: str = "scores") -> DataFrame:
-    """One row per class, scores to six places."""
-    return df.select(id_col, F.posexplode(column).alias("class_idx", "score")).withColumn(
-        "score", F.round("score", 6)
-    )
+    """One row per class. The outer form keeps the optimiser from adding a filter on the
+    array's size, which would work out the scores a second time."""
+    return df.select(id_col, F.posexplode_outer(column).alias("class_idx", "score"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from subjectloom.plans.frames import (
 )
 from subjectloom.session import fresh_path
 from subjectloom.sources import sinks
+from subjectloom.sources.readers import spread
 
 _NAMES = ", ".join(f"'{c}'" for c in CLASSES)
 _GRID = f"classes(class_idx, label) AS (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(CLASSES))})"
@@ -172,7 +173,7 @@ SELECT r.label, count(*) AS n_docs, sum(length(c.text_clean)) ::BIGINT AS n_clea
 FROM label_rows r JOIN clean c USING (doc_id) GROUP BY r.label""")
 def clean_label_counts(spark, sf_dir):
     """Corpus to clean text to label sets to counts: the preparation stage in one plan."""
-    prepared = labelled(spark, sf_dir).select(
+    prepared = spread(labelled(spark, sf_dir), "doc_id").select(
         X.normalize_text(F.col("text")).alias("text_clean"),
         L.subjects(F.col("label"), CLASSES).alias("labels"),
     ).where(F.size("labels") > 0)

@@ -25,13 +25,14 @@ from subjectloom.plans.frames import (
     VECTOR_CLASSES,
     VECTORS,
     bits,
-    documents,
     long_scores,
     subject_sets,
     table,
+    texts,
     vectors,
 )
 from subjectloom.session import fresh_path
+from subjectloom.sources.readers import spread
 from subjectloom.sources.model_store import load_model, load_models, save_model
 
 N_FEATURES = 256
@@ -82,8 +83,8 @@ FROM (SELECT doc_id, unnest(v) AS x, generate_subscripts(v, 1)::INT - 1 AS dim,
 """)
 def embed_plug(spark, sf_dir):
     """A user's encoder, made once per partition and fed 64 texts at a time."""
-    df = encode_with(documents(spark, sf_dir).select("doc_id", "text"), "text", letter_encoder)
-    return df.select("doc_id", F.posexplode("embedding").alias("dim", "x")).withColumn(
+    df = encode_with(texts(spark, sf_dir), "text", letter_encoder)
+    return df.select("doc_id", F.posexplode_outer("embedding").alias("dim", "x")).withColumn(
         "x", F.round(F.col("x").cast("double"), 5)
     )
 
@@ -136,7 +137,8 @@ SELECT query_id, class_idx, round(coalesce(sum(w) FILTER (list_contains(labels,
                                   / sum(w), 6) AS score
 FROM weighted CROSS JOIN classes GROUP BY query_id, class_idx""")
 def knn_vote(spark, sf_dir):
-    return long_scores(neighbor_vote(_neighbors(spark, sf_dir), VECTOR_CLASSES), "query_id")
+    votes = neighbor_vote(_neighbors(spark, sf_dir), VECTOR_CLASSES)
+    return long_scores(votes, "query_id").withColumn("score", F.round("score", 6))
 
 
 # --- clusters ------------------------------------------------------------------------------
@@ -202,7 +204,8 @@ def kmeans_majority_predict(spark, sf_dir):
 
 def embedded(spark, sf_dir, pca_components: int | None = None) -> DataFrame:
     """Clean text, encoded once and written, so that fits and scores read vectors only."""
-    df = split_random(subject_sets(spark, sf_dir), "doc_id").select(
+    rows = split_random(subject_sets(spark, sf_dir), "doc_id")
+    df = spread(rows, "doc_id").select(
         F.col("doc_id").alias("id"), normalize_text(F.col("text")).alias("text_clean"),
         "labels", multi_hot(F.col("labels"), CLASSES).alias("y"), "split",
     )

@@ -24,6 +24,7 @@ from subjectloom.plans.frames import (
     stacked,
 )
 from subjectloom.session import fresh_path
+from subjectloom.sources.readers import spread
 from subjectloom.streaming import scoring as streaming
 
 L = len(CLASSES)
@@ -40,30 +41,31 @@ def _shift(amount: float):
 
 
 @query("scores_pad_truncate", with_ctes(*BASE) + """
-SELECT o.doc_id, w.width, g.class_idx, round(coalesce(o2.score, 0.0), 6) AS score
+SELECT o.doc_id, w.width, g.class_idx, coalesce(o2.score, 0.0) AS score
 FROM (SELECT DISTINCT doc_id FROM one) o CROSS JOIN (VALUES (4), (8)) w(width)
 JOIN (SELECT unnest(range(8))::INT AS class_idx) g ON g.class_idx < w.width
 LEFT JOIN one o2 ON o2.doc_id = o.doc_id AND o2.class_idx = g.class_idx""")
 def scores_pad_truncate(spark, sf_dir):
     df = scored(spark, sf_dir).select(
         "doc_id",
-        F.inline(F.array(*[
+        F.inline_outer(F.array(*[
             F.struct(F.lit(w).alias("width"), D.fit_width(F.col("scores"), w).alias("sized"))
             for w in (4, 8)
         ])),
     )
     return df.select(
-        "doc_id", "width", F.posexplode("sized").alias("class_idx", "score")
-    ).withColumn("score", F.round("score", 6))
+        "doc_id", "width", F.posexplode_outer("sized").alias("class_idx", "score")
+    )
 
 
 @query("raw_scores", with_ctes(*BASE) + """
-SELECT doc_id, i AS class_idx, round(CASE WHEN i = 0 THEN -(score - 0.2) ELSE score - 0.2 END, 6)
-  AS score
+SELECT doc_id, i AS class_idx,
+  CASE WHEN i = 0 THEN -(score - 0.2::DOUBLE) ELSE score - 0.2::DOUBLE END AS score
 FROM one CROSS JOIN (VALUES (0), (1)) g(i) WHERE class_idx = 1""")
 def raw_scores(spark, sf_dir):
     """The single decision value of a two-class problem, English or not."""
-    df = scored(spark, sf_dir).select("doc_id", D.two_sided(F.get("scores", F.lit(1)) - 0.2).alias("scores"))
+    decision = F.get("scores", F.lit(1)) - 0.2
+    df = scored(spark, sf_dir).select("doc_id", D.two_sided(decision).alias("scores"))
     return long_scores(df, "doc_id")
 
 
@@ -71,7 +73,7 @@ def raw_scores(spark, sf_dir):
 SELECT doc_id, class_idx, round(1 / (1 + exp(-(score - 0.2::DOUBLE))), 6) AS score FROM one""")
 def scores_sigmoid(spark, sf_dir):
     df = scored(spark, sf_dir).select("doc_id", D.sigmoid(_shift(0.2)).alias("scores"))
-    return long_scores(df, "doc_id")
+    return long_scores(df, "doc_id").withColumn("score", F.round("score", 6))
 
 
 @query("index_to_one_hot", """
@@ -84,11 +86,12 @@ def index_to_one_hot(spark, sf_dir):
 
 
 @query("uniform_fallback", with_ctes(*BASE) + """
-SELECT doc_id, class_idx, round(CASE WHEN l.quality IS NULL THEN 1.0 / 6 ELSE score END, 6) AS score
+SELECT doc_id, class_idx, CASE WHEN l.quality IS NULL THEN 1.0 / 6 ELSE score END AS score
 FROM one JOIN labelled l USING (doc_id)""")
 def uniform_fallback(spark, sf_dir):
     """Documents without marks count as not scored."""
-    df = lexical_scorer("both")(labelled(spark, sf_dir)).withColumn(
+    rows = spread(labelled(spark, sf_dir).select("doc_id", "text", "quality"), "doc_id")
+    df = lexical_scorer("both")(rows).withColumn(
         "scores", F.when(F.col("quality").isNotNull(), F.col("scores"))
     )
     return long_scores(

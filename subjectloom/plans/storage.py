@@ -86,7 +86,7 @@ def scan_any(spark, sf_dir):
 @query("project_clean", with_ctes(*CLEAN_CTES, LABELLED) + """
 SELECT c.doc_id, c.text_clean, l.label FROM clean c JOIN labelled l USING (doc_id)""")
 def project_clean(spark, sf_dir):
-    return labelled(spark, sf_dir).select(
+    return readers.spread(labelled(spark, sf_dir), "doc_id").select(
         "doc_id", normalize_text(F.col("text")).alias("text_clean"), "label"
     )
 

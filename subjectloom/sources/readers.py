@@ -67,6 +67,13 @@ def scan_any(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("text"))
 
 
+def spread(df: DataFrame, id_col: str) -> DataFrame:
+    """For a scan with fewer partitions than there are cores, as of one small file: rows are
+    dealt out by id before costly work on texts. Larger scans are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, id_col) if df.rdd.getNumPartitions() < cores else df
+
+
 def filled(column: str) -> Column:
     """As text, null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
