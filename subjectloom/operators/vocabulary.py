@@ -42,6 +42,6 @@ def label_counts_wanted(
 ) -> DataFrame:
     """Counts for a given list of labels, zero where a label does not occur."""
     names = df.sparkSession.createDataFrame([(w,) for w in wanted], "label string")
-    return F.broadcast(names).join(label_counts(df, labels_col), "label", "left").select(
+    return names.join(label_counts(df, labels_col), "label", "left").select(
         "label", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs")
     )
