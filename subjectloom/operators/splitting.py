@@ -36,24 +36,31 @@ def split_by_hash(
     return df.withColumn("split", _named(hash_share(id_col, test_size, seed)))
 
 
-def quotas_by_remainder(strata: DataFrame, test_size: float) -> DataFrame:
-    """``(stratum, n)`` to ``(stratum, quota)`` by largest remainder.
+def quotas_by_remainder(strata: DataFrame, test_size: float, seed: int) -> DataFrame:
+    """``(stratum, n)`` to ``(stratum, quota)`` by largest remainder, ties by hash.
 
-    The ranking runs over one row per distinct label set, never over documents.
+    A remainder depends on the stratum's size alone, so sizes are ranked and not strata:
+    different sizes that add up to N rows number fewer than the root of 2 N. Only strata of
+    the one size at the edge are told apart, by an exact hash cut.
     """
-    totals = strata.agg(
-        F.sum("n").alias("total"), F.sum(F.floor(F.col("n") * test_size)).alias("given")
-    ).first()
-    extra = math.ceil(test_size * (totals["total"] or 0)) - (totals["given"] or 0)
     share = F.col("n") * test_size
-    by_remainder = Window.orderBy((share - F.floor(share)).desc(), F.col("stratum"))
-    return strata.select(
-        "stratum",
-        (
-            F.floor(share)
-            + F.when(F.row_number().over(by_remainder) <= extra, F.lit(1)).otherwise(F.lit(0))
-        ).cast("long").alias("quota"),
-    )
+    whole, part = F.floor(share), share - F.floor(share)
+    sizes = settled(strata.groupBy("n").agg(F.count("*").alias("strata")))
+    totals = sizes.agg(
+        F.sum(F.col("n") * F.col("strata")).alias("rows"),
+        F.sum(whole * F.col("strata")).alias("given"),
+    ).first()
+    extra = math.ceil(test_size * (totals["rows"] or 0)) - (totals["given"] or 0)
+    upto = F.sum("strata").over(Window.orderBy(part.desc(), "n"))
+    ranked = settled(sizes.select("n", "strata", upto.alias("upto"), part.alias("part")))
+    edge = ranked.where((F.col("upto") >= extra) & (F.col("upto") - F.col("strata") < extra)).first()
+    if extra <= 0 or edge is None:
+        return strata.select("stratum", whole.cast("long").alias("quota"))
+    at_edge = strata.where(F.col("n") == edge["n"])
+    rest = extra - (edge["upto"] - edge["strata"])
+    better = (part > edge["part"]) | ((part == edge["part"]) & (F.col("n") < edge["n"]))
+    chosen = better | ((F.col("n") == edge["n"]) & lowest(at_edge, "stratum", rest, seed))
+    return strata.select("stratum", (whole + chosen.cast("int")).cast("long").alias("quota"))
 
 
 def split_stratified(
@@ -71,7 +78,7 @@ def split_stratified(
     stratum = F.array_join(F.col(labels_col), " ")
     counts = histogram(df, id_col, seed, stratum)
     strata = counts.groupBy("stratum").agg(F.sum("n").alias("n"))
-    quotas = quotas_by_remainder(strata, test_size)
+    quotas = quotas_by_remainder(strata, test_size, seed)
     table = settled(cuts(df, counts, quotas, id_col, seed, stratum))
     joined = lookup_join(df.withColumn("stratum", stratum), table, ["stratum"], spread_by=id_col)
     is_val = F.coalesce(

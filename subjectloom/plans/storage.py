@@ -198,7 +198,8 @@ sets AS (
 strata AS (SELECT stratum, count(*) AS n FROM sets GROUP BY stratum),
 quotas AS (
   SELECT stratum, floor(n * 0.2::DOUBLE) + CASE WHEN
-    row_number() OVER (ORDER BY n * 0.2::DOUBLE - floor(n * 0.2::DOUBLE) DESC, stratum)
+    row_number() OVER (ORDER BY n * 0.2::DOUBLE - floor(n * 0.2::DOUBLE) DESC, n,
+                                md5(stratum || ':42'), stratum)
     <= ceil(0.2::DOUBLE * sum(n) OVER ()) - sum(floor(n * 0.2::DOUBLE)) OVER ()
     THEN 1 ELSE 0 END AS quota
   FROM strata),
