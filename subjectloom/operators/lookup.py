@@ -13,7 +13,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
-def _row_bytes(table: DataFrame) -> Column:
+def row_bytes(table: DataFrame) -> Column:
     parts = [F.lit(16)]
     for field in table.schema.fields:
         if isinstance(field.dataType, T.StringType):
@@ -26,12 +26,16 @@ def _row_bytes(table: DataFrame) -> Column:
     return total
 
 
+def within_limits(rows: int, size: int | None) -> bool:
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
 def fits_broadcast(table: DataFrame) -> bool:
     """Measured, not guessed: true when the table is under both broadcast limits."""
     if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in table.schema):
         return False
-    size = table.agg(F.count("*").alias("rows"), F.sum(_row_bytes(table)).alias("bytes")).first()
-    return size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    size = table.agg(F.count("*").alias("rows"), F.sum(row_bytes(table)).alias("bytes")).first()
+    return within_limits(size["rows"], size["bytes"])
 
 
 def lookup_join(

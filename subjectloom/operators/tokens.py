@@ -2,7 +2,11 @@
 
 A replacement is worked out once per distinct token, not once per occurrence, and is then
 joined back. Documents are shuffled once, by id and before they are exploded, so putting the
-tokens together again needs no further exchange when the table can be broadcast.
+tokens together again needs no further exchange.
+
+A table that can be broadcast is. From a larger one only the frequent tokens are broadcast:
+they are nearly all occurrences, and all of the skew. What is left, rare tokens by
+definition, is the only part that is shuffled by token.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectloom.functions.stemming import porter_stems
-from subjectloom.operators.lookup import lookup_join
+from subjectloom.operators.lookup import fits_broadcast, row_bytes, within_limits
 from subjectloom.session import settled
 
 
@@ -69,14 +73,57 @@ def replace_tokens(
         .select(id_col, F.posexplode_outer("_pairs").alias("_pos", "_pair"))
         .select(id_col, "_pos", "_pair.*")
     )
-    joined = lookup_join(exploded, table, keys, spread_by="_pos")
+    if fits_broadcast(table):
+        placed = _gather(exploded.join(F.broadcast(table), keys, "left"), id_col)
+    else:
+        placed = _replace_by_frequency(exploded, table, keys, id_col)
+    return placed.select(
+        id_col, F.transform(F.array_sort("_placed"), lambda x: x["t"]).alias(tokens_col)
+    )
+
+
+def _gather(joined: DataFrame, id_col: str) -> DataFrame:
+    """Tokens of a document with their places; none for a document without tokens."""
     placed = F.when(
         F.col("_pos").isNotNull(),
         F.struct("_pos", F.coalesce("replacement", "token").alias("t")),
     )
-    return joined.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(placed)), lambda x: x["t"]).alias(tokens_col)
+    return joined.groupBy(id_col).agg(F.collect_list(placed).alias("_placed"))
+
+
+def _replace_by_frequency(
+    exploded: DataFrame, table: DataFrame, keys: list[str], id_col: str
+) -> DataFrame:
+    counted = exploded.where("_pos IS NOT NULL").groupBy(*keys).agg(F.count("*").alias("n"))
+    known = settled(counted.join(table, keys, "left"))
+    frequent = known.where(F.col("n") >= _frequent_from(known)).withColumnRenamed("n", "_n")
+    joined = exploded.join(F.broadcast(frequent), keys, "left")
+    settled_here = F.col("_n").isNotNull() | F.col("_pos").isNull()
+    done = _gather(joined.where(settled_here), id_col)
+    rare = joined.where(~settled_here).select(id_col, "_pos", *keys)
+    rest = _gather(rare.join(table, keys, "left"), id_col).withColumnRenamed("_placed", "_rare")
+    none = F.array().cast(done.schema["_placed"].dataType)
+    return done.join(rest, id_col, "full").select(
+        id_col,
+        F.concat(F.coalesce("_placed", none), F.coalesce("_rare", none)).alias("_placed"),
+    )
+
+
+def _frequent_from(known: DataFrame) -> int:
+    """The lowest power of two such that the tokens occurring at least that often stay within
+    the broadcast limits; read off a table with one row per power."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = known.groupBy(power.alias("power")).agg(
+        F.count("*").alias("rows"), F.sum(row_bytes(known)).alias("bytes")
     )
+    rows = size = 0
+    lowest = None
+    for r in sorted(sizes.collect(), key=lambda r: -r["power"]):
+        rows, size = rows + r["rows"], size + r["bytes"]
+        if not within_limits(rows, size):
+            break
+        lowest = r["power"]
+    return 2**62 if lowest is None else 2**lowest
 
 
 def stem_table(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:

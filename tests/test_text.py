@@ -68,7 +68,7 @@ def test_stems(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("rows_limit", [None, 0])
+@pytest.mark.parametrize("rows_limit", [None, 0, 1])
 def test_replacing_keeps_order_and_empty_documents(spark, monkeypatch, rows_limit):
     if rows_limit is not None:
         monkeypatch.setattr("subjectloom.operators.lookup.BROADCAST_ROWS", rows_limit)
@@ -80,6 +80,21 @@ def test_replacing_keeps_order_and_empty_documents(spark, monkeypatch, rows_limi
     assert got == {1: ["B", "a", "B", "C"], 2: [], 3: ["z"]}
 
 
+@pytest.mark.parametrize("rows_limit", [0, 1, 3, 100])
+def test_frequent_and_rare_tokens_meet_again(spark, monkeypatch, rows_limit):
+    """One token is a third of everything; the result is that of one plain lookup."""
+    docs = [
+        (i, ["hot"] * 20 + [f"w{(i * j) % 50}" for j in range(40)] + (["hot"] if i % 2 else []))
+        for i in range(60)
+    ] + [(60, []), (61, ["w1"]), (62, ["unknown"])]
+    df = spark.createDataFrame(docs, "id int, tokens array<string>")
+    changed = {"hot": "HOT", **{f"w{k}": f"W{k}" for k in range(0, 50, 3)}}
+    table = spark.createDataFrame(list(changed.items()), "token string, replacement string")
+    monkeypatch.setattr("subjectloom.operators.lookup.BROADCAST_ROWS", rows_limit)
+    got = {r["id"]: r["tokens"] for r in replace_tokens(df, table, "id").collect()}
+    assert got == {i: [changed.get(t, t) for t in tokens] for i, tokens in docs}
+
+
 def test_stem_tokens(spark):
     df = spark.createDataFrame([(1, ["cats", "running", "sky"])], "id int, tokens array<string>")
     assert stem_tokens(df, "id").first()["tokens"] == ["cat", "run", "sky"]
