@@ -89,14 +89,22 @@ def embed_plug(spark, sf_dir):
     )
 
 
-@query("pca_project")
+@query("pca_project", """
+WITH cells AS (
+  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS dim
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)),
+centred AS (SELECT vec_id, dim, x - avg(x) OVER (PARTITION BY dim) AS x FROM cells)
+SELECT vec_id, round(sum(x * x), 6) AS spread FROM centred GROUP BY vec_id""")
 def pca_project(spark, sf_dir):
+    """Onto all 64 components: a rotation of the centred vectors, so lengths stay."""
     df = table(spark, sf_dir, "embeddings").select(
         "vec_id", X.as_vector(F.col("embedding")).alias("raw")
     )
-    model = Pipeline(stages=projection_stages("raw", "features", 8)).fit(df)
+    model = Pipeline(stages=projection_stages("raw", "features", 64)).fit(df)
+    squares = F.transform(X.as_array(F.col("features")), lambda x: x * x)
     return model.transform(df).select(
-        "vec_id", F.posexplode(X.as_array(F.col("features"))).alias("component", "x")
+        "vec_id",
+        F.round(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x), 6).alias("spread"),
     )
 
 
