@@ -41,6 +41,11 @@ def one_hot(index: Column, n_classes: int) -> Column:
     return F.array(*[(inside == i).cast("int") for i in range(n_classes)])
 
 
+def one_hot_or_none(index: Column, n_classes: int) -> Column:
+    """The interactive form: an index out of range sets nothing."""
+    return F.array(*[(index == i).cast("int") for i in range(n_classes)])
+
+
 def at_least(scores: Column, threshold: float = THRESHOLD) -> Column:
     return F.transform(scores, lambda x: (x >= F.lit(float(threshold))).cast("int"))
 

@@ -154,6 +154,20 @@ def select_interactive(spark, sf_dir):
     )
 
 
+_INDEX = "(length(text) % 8 - 1)"
+
+
+@query("select_interactive_index", f"""
+SELECT doc_id, CASE WHEN {_INDEX} < 0 THEN repeat('0', n)
+  ELSE repeat('0', {_INDEX}) || '1' || repeat('0', n - 1 - {_INDEX}) END AS p
+FROM documents CROSS JOIN (SELECT max({_INDEX}) + 1 AS n FROM documents)""")
+def select_interactive_index(spark, sf_dir):
+    """Predicted class numbers become vectors as wide as the highest number needs."""
+    df = documents(spark, sf_dir).select("doc_id", (F.length("text") % 8 - 1).alias("c"))
+    width = df.agg(F.max("c")).first()[0] + 1
+    return df.select("doc_id", bits(D.one_hot_or_none(F.col("c"), width)).alias("p"))
+
+
 @query("predict_default", with_ctes(*BASE) + """
 SELECT doc_id, coalesce(string_agg(label, ' ' ORDER BY class_idx) FILTER (score > 0.5), '') AS labels
 FROM one JOIN classes USING (class_idx) GROUP BY doc_id""")

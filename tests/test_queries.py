@@ -10,7 +10,11 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tools.check_queries import _rows
 
 QUERIES, SQL = queries(), oracle_sql()
-SLOW = {"mlp_fit_score"}
+# The fits are covered by test_models; the driver runs these queries too.
+SLOW = {
+    "mlp_fit_score", "staged_fit", "score_matrix", "tree_fit_score", "logreg_fit_score",
+    "knn_fit_score", "kmeans_fit",
+}
 
 
 @pytest.fixture(scope="module")
