@@ -90,15 +90,15 @@ label_rows AS (
 
 # Marker words of the lexical scorers: (model, scale, words per language class).
 SCORERS = {
-    "articles": (4.0, 0.9, 1.0, {
+    "articles": (4.0, 0.3, 2.2, {
         "de": ("der", "die", "das", "den", "ein"), "en": ("the", "a", "an"),
         "es": ("el", "la", "los", "las", "un"), "fr": ("le", "la", "les", "un", "des"),
     }),
-    "joiners": (6.0, 0.6, 2.0, {
+    "joiners": (6.0, 0.9, 1.0, {
         "de": ("und", "in", "zu", "mit", "von"), "en": ("and", "of", "to", "in", "for"),
         "es": ("y", "de", "que", "en", "por"), "fr": ("et", "de", "que", "en", "pour"),
     }),
-    "both": (3.0, 0.75, 1.5, {
+    "both": (3.0, 0.6, 1.2, {
         "de": ("der", "die", "und", "in", "ist"), "en": ("the", "a", "and", "of", "is"),
         "es": ("el", "la", "de", "que", "es"), "fr": ("le", "la", "de", "et", "est"),
     }),
