@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from subjectloom.functions.text import SPACE, strip
+
 
 class LabelFormat(NamedTuple):
     """How a delimited label string is read."""
@@ -19,11 +21,11 @@ class LabelFormat(NamedTuple):
 
 # The five ways label strings are read.
 FORMATS = {
-    "split": LabelFormat(r"[,;/|]|\s+", lower=True, distinct=True),
-    "evaluate": LabelFormat(r"[,;/|]|\s+", lower=True, distinct=False),
-    "fit": LabelFormat(r"[;,\s]+", lower=False, distinct=False),
-    "stored": LabelFormat(r"\s+", lower=False, distinct=False),
-    "count": LabelFormat(r"[,;/|]|\s+", lower=False, distinct=False),
+    "split": LabelFormat(rf"[,;/|]|[{SPACE}]+", lower=True, distinct=True),
+    "evaluate": LabelFormat(rf"[,;/|]|[{SPACE}]+", lower=True, distinct=False),
+    "fit": LabelFormat(rf"[;,{SPACE}]+", lower=False, distinct=False),
+    "stored": LabelFormat(rf"[{SPACE}]+", lower=False, distinct=False),
+    "count": LabelFormat(rf"[,;/|]|[{SPACE}]+", lower=False, distinct=False),
 }
 
 # The default subject categories.
@@ -32,7 +34,7 @@ DEFAULT_CATEGORIES = ("astro-ph", "cond-mat", "cs", "math", "physics")
 
 def _tidy(items: Column, fmt: LabelFormat) -> Column:
     def clean(item: Column) -> Column:
-        item = F.trim(item)
+        item = strip(item)
         return F.lower(item) if fmt.lower else item
 
     kept = F.filter(F.transform(items, clean), lambda x: x != "")
@@ -56,7 +58,7 @@ def parse_label_list(raw: Column, how: str = "evaluate") -> Column:
 
 def top_level(labels: Column) -> Column:
     """``cs.LG`` -> ``cs``: each label up to its first dot, in lower case."""
-    return F.transform(labels, lambda x: F.lower(F.trim(F.substring_index(x, ".", 1))))
+    return F.transform(labels, lambda x: F.lower(strip(F.substring_index(x, ".", 1))))
 
 
 def restrict(labels: Column, allowed: Sequence[str]) -> Column:

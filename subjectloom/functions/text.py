@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 WORD = r"\p{L}\p{N}_"
 
+# The white space characters themselves, for trimming.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # URL and number patterns.
 URL_PATTERN = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 NUMBER_PATTERN = rf"(?=\p{{Nd}})(?<![{WORD}])\p{{Nd}}+(?:\.\p{{Nd}}+)?(?![{WORD}])"
@@ -48,6 +54,11 @@ _FUSED_PATTERN = (
 )
 
 
+def strip(text: Column) -> Column:
+    """White space of any kind off both ends."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def lowercase(text: Column) -> Column:
     return F.lower(F.coalesce(text, F.lit("")))
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subjectloom.functions.text import SPACE, strip
+
 # Suffixes read as one document per line, and the separators tried on a CSV.
 TEXT_SUFFIXES = (".txt", ".md")
 SEPARATORS = (",", ";", "\t", "|")
@@ -34,8 +36,8 @@ def scan_csv(
 
 def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(text)``: one document per line that is not blank, trimmed."""
-    trimmed = F.regexp_replace("value", r"^[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+$", "")
-    return spark.read.text(path).select(trimmed.alias("text")).where(F.col("text") != "")
+    lines = spark.read.text(path).select(strip(F.col("value")).alias("text"))
+    return lines.where(F.col("text") != "")
 
 
 def _separator(spark: SparkSession, path: str) -> str:
@@ -84,7 +86,7 @@ def drop_null_rows(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
 
 
 def drop_blank_text(df: DataFrame, text_col: str) -> DataFrame:
-    return df.where(F.col(text_col).rlike(r"[^\s\x{85}\p{Z}]"))
+    return df.where(F.col(text_col).rlike(f"[^{SPACE}]"))
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

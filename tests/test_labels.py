@@ -32,6 +32,13 @@ def test_presets(spark, how, want):
     assert df.select(L.parse_labels(F.col("t"), how)).first()[0] == want
 
 
+def test_unicode_blanks(spark):
+    df = spark.createDataFrame([("\u00a0cs.LG\u2003math.CO\x85",)], "t string")
+    assert df.select(L.parse_labels(F.col("t"))).first()[0] == ["cs.lg", "math.co"]
+    df = spark.createDataFrame([(["\u3000CS\xa0", "\u2009"],)], "t array<string>")
+    assert df.select(L.parse_label_list(F.col("t"))).first()[0] == ["cs"]
+
+
 def test_list_labels(spark):
     df = spark.createDataFrame([([" CS.lg ", "", None, "x"],), (None,)], "t array<string>")
     rows = [r[0] for r in df.select(L.parse_label_list(F.col("t"))).collect()]
