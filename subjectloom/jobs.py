@@ -21,7 +21,7 @@ from subjectloom.operators.sampling import sample_exact
 from subjectloom.operators.splitting import SEED, TEST_SIZE, split_stratified
 from subjectloom.operators.tokens import lemmatize_tokens, stem_tokens
 from subjectloom.operators.vocabulary import fixed_vocabulary, learn_vocabulary, vocabulary_list
-from subjectloom.session import fresh_path
+from subjectloom.session import written
 from subjectloom.sources import sinks
 from subjectloom.sources.model_store import load_model, load_models, save_model
 from subjectloom.sources.readers import drop_null_rows, filled, require_rows
@@ -30,9 +30,7 @@ from subjectloom.sources.readers import drop_null_rows, filled, require_rows
 def with_ids(df: DataFrame) -> DataFrame:
     """Numbers the rows of a corpus that has no ids, and writes them down, so that every later
     pass sees the same number on the same row."""
-    path = fresh_path(df.sparkSession, "numbered")
-    df.withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written(df.withColumn("id", F.monotonically_increasing_id()), "numbered")
 
 
 def _label_text(df: DataFrame, label_col: str) -> Column:
@@ -61,7 +59,8 @@ def preprocess(
     label = [_label_text(df, label_col).alias("label")] if label_col else []
     text = F.col(text_col)
     if not use_stem and lemmas is None:
-        clean = df.select("id", X.normalize_text(text, min_length=min_length).alias("text_clean"), *label)
+        clean_text = X.normalize_text(text, min_length=min_length).alias("text_clean")
+        clean = df.select("id", clean_text, *label)
     else:
         words = df.select("id", X.word_tokens(text).alias("tokens"))
         words = stem_tokens(words, "id") if use_stem else lemmatize_tokens(words, lemmas, "id")
@@ -87,7 +86,8 @@ def split(
     kept = drop_null_rows(clean, text_col, label_col).select(
         "id", text_col, L.subjects(F.col(label_col), categories).alias("labels")
     ).where(F.size("labels") > 0)
-    sides = split_stratified(require_rows(kept, "the category filter"), "id", "labels", test_size, seed)
+    kept = require_rows(kept, "the category filter")
+    sides = split_stratified(kept, "id", "labels", test_size, seed)
     sinks.write_split(sides, f"{folder}/split")
     vocabulary = fixed_vocabulary(spark, categories)
     sinks.write_vocabulary(vocabulary, f"{folder}/vocabulary")
@@ -121,9 +121,9 @@ def train(
     rows = rows.withColumn("y", L.multi_hot(F.col("labels"), vocabulary))
     encoder = feature_stages("text_clean", n_features, pca_components).fit(rows)
     encoder.write().overwrite().save(f"{folder}/encoder")
-    path = fresh_path(spark, "features")
-    encoder.transform(rows).select("id", "features", "labels", "y").write.parquet(path)
-    encoded = spark.read.parquet(path)
+    encoded = written(
+        encoder.transform(rows).select("id", "features", "labels", "y"), "features"
+    )
     for name in names:
         model = fit_model(name, encoded, vocabulary, **params)
         save_model(spark, model, f"{folder}/models/{name.lower()}")
@@ -188,11 +188,9 @@ def ensemble(
     if len(vocabularies) > 1:
         raise ValueError("the models were trained on different labels")
     vocabulary = list(vocabularies.pop())
-    encoded, scores = fresh_path(spark, "encoded"), fresh_path(spark, "scores")
-    encode(spark, folder, texts, text_col).select("id", "features").write.parquet(encoded)
-    ready = spark.read.parquet(encoded)
-    stack_models({n: m.score(ready) for n, m in models.items()}, "id").write.parquet(scores)
-    stacked = spark.read.parquet(scores)
+    ready = written(encode(spark, folder, texts, text_col).select("id", "features"), "encoded")
+    scored = stack_models({n: m.score(ready) for n, m in models.items()}, "id")
+    stacked = written(scored, "scores")
     vote = soft_vote if voting == "soft" else hard_vote
     return Ensemble(vocabulary, vote(stacked, "id", len(vocabulary), threshold, top_k), stacked)
 
@@ -224,11 +222,10 @@ def evaluate(
     rows = require_rows(rows, "the category filter").withColumn(
         "y", L.multi_hot(F.col("labels"), vocabulary)
     )
-    path = fresh_path(spark, "judged")
-    model.score(encode(spark, folder, rows, text_col)).select(
-        "id", "y", D.by_default(F.col("scores")).alias("p")
-    ).write.parquet(path)
-    judged = spark.read.parquet(path)
+    scored = model.score(encode(spark, folder, rows, text_col))
+    judged = written(
+        scored.select("id", "y", D.by_default(F.col("scores")).alias("p")), "judged"
+    )
     per_class = M.confusion_per_class(judged, vocabulary)
     one = F.lit(1).alias("_row")
     parts = [

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from subjectloom.functions.stemming import porter_stems
 from subjectloom.operators.lookup import fits_broadcast, row_bytes, within_limits
-from subjectloom.session import settled
+from subjectloom.session import settled, written
 
 
 def distinct_tokens(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -137,7 +137,9 @@ def stem_table(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
 
 
 def stem_tokens(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """``(id, tokens)`` with every token stemmed."""
+    """``(id, tokens)`` with every token stemmed. The tokens are written once, for they are
+    read twice and cleaning text costs far more than reading it."""
+    df = written(df.select(id_col, tokens_col), "tokens")
     return replace_tokens(df, stem_table(df, tokens_col), id_col, tokens_col)
 
 

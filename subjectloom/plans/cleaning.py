@@ -9,6 +9,7 @@ from subjectloom.functions import text as X
 from subjectloom.operators.tokens import distinct_tokens, lemmatize_tokens, stem_tokens
 from subjectloom.plans.catalog import query, with_ctes
 from subjectloom.plans.frames import table, texts
+from subjectloom.session import written
 
 _W = f"[{X.WORD}]"
 _S = f"[{X.SPACE}]"
@@ -174,7 +175,7 @@ lemmas AS (
        + _rejoined("coalesce(lemma, token)", "placed LEFT JOIN lemmas USING (token)"))
 def lemma_join(spark, sf_dir):
     """The lemma table is read off the corpus: a word in -s whose stem also occurs."""
-    words = _word_frame(spark, sf_dir)
+    words = written(_word_frame(spark, sf_dir), "tokens")
     vocabulary = distinct_tokens(words)
     lemmas = vocabulary.select(
         F.concat("token", F.lit("s")).alias("token"), F.col("token").alias("lemma")

@@ -23,7 +23,7 @@ from subjectloom.plans.frames import (
     subject_sets,
 )
 from subjectloom.plans.scoring import MEAN, SHARES, VOTES, L
-from subjectloom.session import settled
+from subjectloom.session import written
 
 BASE = (LABELLED, SUBJECTS, EVIDENCE, decided_sql("one", "d", "score >= 0.35::DOUBLE", 1))
 PAIRS = "pairs AS (SELECT d.doc_id, class_idx, y, p FROM d JOIN truth USING (doc_id, class_idx))"
@@ -167,7 +167,7 @@ SELECT model, round(any_value(accuracy), 6) AS accuracy, {_MACRO}
 FROM cells JOIN exact USING (model) GROUP BY model""")
 def model_comparison(spark, sf_dir):
     """Every model and both ensembles, scored from one pass over the texts."""
-    scores = settled(stacked(spark, sf_dir))
+    scores = written(stacked(spark, sf_dir), "scores")
     single = scores.select("doc_id", "model", D.from_probabilities(F.col("scores")).alias("p"))
     soft = soft_vote(scores, "doc_id", L).select("doc_id", F.lit("ensemble soft").alias("model"), "p")
     hard = hard_vote(scores, "doc_id", L, 0.7).select(

@@ -24,7 +24,8 @@ from subjectloom.sources import sinks
 from subjectloom.sources.readers import spread
 
 _NAMES = ", ".join(f"'{c}'" for c in CLASSES)
-_GRID = f"classes(class_idx, label) AS (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(CLASSES))})"
+_ROWS = ", ".join(f"({i}, {c!r})" for i, c in enumerate(CLASSES))
+_GRID = f"classes(class_idx, label) AS (VALUES {_ROWS})"
 
 
 def _parsed(pattern: str, lower: bool, distinct: bool) -> str:

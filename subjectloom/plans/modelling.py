@@ -31,7 +31,7 @@ from subjectloom.plans.frames import (
     texts,
     vectors,
 )
-from subjectloom.session import fresh_path
+from subjectloom.session import fresh_path, written
 from subjectloom.sources.readers import spread
 from subjectloom.sources.model_store import load_model, load_models, save_model
 
@@ -217,16 +217,12 @@ def embedded(spark, sf_dir, pca_components: int | None = None) -> DataFrame:
         F.col("doc_id").alias("id"), normalize_text(F.col("text")).alias("text_clean"),
         "labels", multi_hot(F.col("labels"), CLASSES).alias("y"), "split",
     )
-    path = fresh_path(spark, "clean-split")
-    df.write.partitionBy("split").parquet(path)
-    clean = spark.read.parquet(path)
+    clean = written(df, "clean-split", partition_by="split")
     encoder = feature_stages("text_clean", N_FEATURES, pca_components).fit(
         clean.where("split = 'train'")
     )
-    vectors_path = fresh_path(spark, "features")
-    encoder.transform(clean).select("id", "features", "labels", "y", "split").write.partitionBy(
-        "split").parquet(vectors_path)
-    return spark.read.parquet(vectors_path)
+    encoded = encoder.transform(clean).select("id", "features", "labels", "y", "split")
+    return written(encoded, "features", partition_by="split")
 
 
 def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:

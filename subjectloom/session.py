@@ -49,6 +49,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder. For large frames that several passes
+    read, where working them out again costs more than reading them."""
+    path = fresh_path(df.sparkSession, name)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder, so later jobs read it back.
 
