@@ -1,18 +1,25 @@
 """Replacing tokens through a vocabulary-sized table: stems and lemmas.
 
-A replacement is worked out once per distinct token, not once per occurrence, and is then
-joined back. Documents are shuffled once, by id and before they are exploded, so putting the
-tokens together again needs no further exchange.
-
-A table that can be broadcast is. From a larger one only the frequent tokens are broadcast:
-they are nearly all occurrences, and all of the skew. What is left, rare tokens by
-definition, is the only part that is shuffled by token.
+A replacement is worked out once per distinct token, not once per occurrence, and is then put
+back into the documents.
+
+* A table that can be broadcast is applied to whole Arrow batches of token lists, in place:
+  nothing is exploded and no document is shuffled.
+* From a larger table only the frequent tokens are broadcast: they are nearly all occurrences,
+  and all of the skew. What is left, rare tokens by definition, is the only part that is
+  shuffled by token. Documents are then shuffled once, by id and before they are exploded, so
+  putting the tokens together again needs no further exchange.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subjectloom.functions.stemming import porter_stems
 from subjectloom.operators.lookup import fits_broadcast, row_bytes, within_limits
@@ -61,27 +68,63 @@ def replace_tokens(
     names an array that runs parallel to the tokens. Tokens it lacks stay as they are.
     """
     keys = ["token"] if tags_col is None else ["token", "tag"]
+    table = settled(table.select(*keys, "replacement"))
+    if fits_broadcast(table):
+        return _replace_in_place(df, table, id_col, tokens_col, tags_col)
     pair = F.transform(F.col(tokens_col), lambda t: F.struct(t.alias("token")))
     if tags_col is not None:
         pair = F.zip_with(
             tokens_col, tags_col, lambda t, g: F.struct(t.alias("token"), g.alias("tag"))
         )
-    table = settled(table.select(*keys, "replacement"))
     exploded = (
         df.select(id_col, pair.alias("_pairs"))
         .repartition(id_col)
         .select(id_col, F.posexplode_outer("_pairs").alias("_pos", "_pair"))
         .select(id_col, "_pos", "_pair.*")
     )
-    if fits_broadcast(table):
-        placed = _gather(exploded.join(F.broadcast(table), keys, "left"), id_col)
-    else:
-        placed = _replace_by_frequency(exploded, table, keys, id_col)
+    placed = _replace_by_frequency(exploded, table, keys, id_col)
     return placed.select(
         id_col, F.transform(F.array_sort("_placed"), lambda x: x["t"]).alias(tokens_col)
     )
 
 
+def _key(tokens: pa.Array, tags: pa.Array | None) -> pa.Array:
+    return tokens if tags is None else pc.binary_join_element_wise(tokens, tags, "\x1f")
+
+
+def _replace_in_place(
+    df: DataFrame, table: DataFrame, id_col: str, tokens_col: str, tags_col: str | None
+) -> DataFrame:
+    """Looks all tokens of a batch up in one call."""
+    entries = table.toArrow().combine_chunks()
+    known = _key(entries["token"], None if tags_col is None else entries["tag"])
+    shared = df.sparkSession.sparkContext.broadcast(
+        (known.combine_chunks(), entries["replacement"].combine_chunks())
+    )
+    schema = T.StructType([
+        df.schema[id_col], T.StructField(tokens_col, T.ArrayType(T.StringType())),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, replacements = shared.value
+        for batch in batches:
+            lists = batch.column(tokens_col)
+            tokens = lists.flatten()
+            tags = None if tags_col is None else batch.column(tags_col).flatten()
+            found = pc.index_in(_key(tokens, tags), value_set=names)
+            new = pc.coalesce(replacements.take(found), tokens)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0)
+            ends = pc.cumulative_sum(sizes)
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id_col), pa.ListArray.from_arrays(offsets, new)],
+                names=[id_col, tokens_col],
+            )
+
+    wanted = [id_col, tokens_col, *([tags_col] if tags_col else [])]
+    return df.select(*wanted).mapInArrow(run, schema)
+
+
 def _gather(joined: DataFrame, id_col: str) -> DataFrame:
     """Tokens of a document with their places; none for a document without tokens."""
     placed = F.when(

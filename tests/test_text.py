@@ -95,6 +95,14 @@ def test_frequent_and_rare_tokens_meet_again(spark, monkeypatch, rows_limit):
     assert got == {i: [changed.get(t, t) for t in tokens] for i, tokens in docs}
 
 
+def test_empty_table_and_null_lists(spark):
+    df = spark.createDataFrame([(1, ["a"]), (2, None), (3, [])], "id int, tokens array<string>")
+    for rows in ([], [("a", "b")]):
+        table = spark.createDataFrame(rows, "token string, replacement string")
+        got = {r["id"]: r["tokens"] for r in replace_tokens(df, table, "id").collect()}
+        assert got == {1: [dict(rows).get("a", "a")], 2: [], 3: []}
+
+
 def test_stem_tokens(spark):
     df = spark.createDataFrame([(1, ["cats", "running", "sky"])], "id int, tokens array<string>")
     assert stem_tokens(df, "id").first()["tokens"] == ["cat", "run", "sky"]
