@@ -89,7 +89,11 @@ def replace_tokens(
 
 
 def _key(tokens: pa.Array, tags: pa.Array | None) -> pa.Array:
-    return tokens if tags is None else pc.binary_join_element_wise(tokens, tags, "\x1f")
+    """Token and tag as one text; the length in front keeps any two pairs apart."""
+    if tags is None:
+        return tokens
+    sizes = pc.binary_length(tokens).cast(pa.string())
+    return pc.binary_join_element_wise(sizes, tokens, tags, ":")
 
 
 def _replace_in_place(
