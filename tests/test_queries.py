@@ -6,10 +6,12 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from subjectloom.plans import all_queries, all_sql
 from tools.check_queries import _rows
 
-QUERIES, SQL = queries(), oracle_sql()
+# The optional subpackage has its own tests.
+QUERIES, SQL = {name: queries()[name] for name in all_queries()}, all_sql()
 # The fits are covered by test_models; the driver runs these queries too.
 SLOW = {
     "mlp_fit_score", "staged_fit", "score_matrix", "tree_fit_score", "logreg_fit_score",
