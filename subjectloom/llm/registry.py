@@ -6,7 +6,7 @@ from importlib import import_module
 
 from subjectloom.plans.catalog import Query
 
-_MODULES = ("bpe", "exact_dedup", "url_filter", "mixing")
+_MODULES = ("bpe", "exact_dedup", "url_filter", "mixing", "language_id", "toxicity")
 
 
 def queries() -> dict[str, Query]:
