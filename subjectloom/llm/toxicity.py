@@ -84,9 +84,7 @@ class Model(NamedTuple):
     def score(self, texts: pd.Series) -> pd.Series:
         out = []
         for found in _columns(texts, self.bits):
-            at = np.searchsorted(self.columns, found)
-            at = at[(at < len(self.columns))]
-            hit = at[np.isin(self.columns[at], found)] if len(at) else at
+            hit = np.flatnonzero(np.isin(self.columns, found, assume_unique=True))
             out.append(float(_sigmoid(self.offsets + self.weights[hit].sum(axis=0)).mean()))
         return pd.Series(out, dtype=float)
 
