@@ -47,3 +47,15 @@ def with_row_key(df: DataFrame, name: str) -> DataFrame:
 def in_train_fold(id_column: str) -> Column:
     """True for the rows that models may learn labels from: four fifths, by CRC-32 of the id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 != 0
+
+
+#: Bytes of rows that are handed to Python at once.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Bounds the batches that go to Python by bytes, for this session: ten thousand rows, the
+    usual bound, can be any amount of text."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, str(2**31 - 1))) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
