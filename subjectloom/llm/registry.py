@@ -6,7 +6,7 @@ from importlib import import_module
 
 from subjectloom.plans.catalog import Query
 
-_MODULES = ("bpe", "exact_dedup", "url_filter", "mixing", "language_id", "toxicity", "secrets", "pivot_search", "line_dedup")
+_MODULES = ("bpe", "exact_dedup", "url_filter", "mixing", "language_id", "toxicity", "secrets", "pivot_search", "line_dedup", "jaccard_join")
 
 
 def queries() -> dict[str, Query]:
