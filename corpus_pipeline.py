@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subjectloom.llm import bpe, jaccard_join, line_dedup, mixing, toxicity
-from subjectloom.llm.common import table
+from subjectloom.llm.common import free_name, table
 from subjectloom.session import written
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -22,8 +22,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ``docs`` and of the table ``labels``. Null and empty texts stay, as nothing speaks against
     them; without labels all stay."""
     model = toxicity.train_on_fold(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, "text", model, "_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    score = free_name(docs, "toxicity")
+    scored = toxicity.score(docs, "text", model, score)
+    return scored.where(F.col(score) < 0.5).drop(score)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
             "n_chars",
             F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")),
         )
-        .select(*docs.columns)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
 
