@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subjectloom.llm.common import free_name, table, text_of, with_row_key
+from subjectloom.llm.common import free_name, in_small_batches, table, text_of, with_row_key
 
 #: Texts of more characters are cut into halves until no piece is longer.
 PIECE = 16_384
@@ -133,22 +133,20 @@ def halves(text: str, piece: int) -> list[str]:
 
 def encoder(path: str):
     @F.pandas_udf("array<int>")
-    def encode_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode_texts(texts: pd.Series) -> pd.Series:
         own = codec(path)
-        for texts in batches:
-            yield pd.Series([own.encode(t) for t in texts], dtype=object)
+        return pd.Series([own.encode(t) for t in texts], dtype=object)
 
     return encode_texts
 
 
 def decoder(path: str):
     @F.pandas_udf("string")
-    def decode_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decode_lists(lists: pd.Series) -> pd.Series:
         own = codec(path)
-        for lists in batches:
-            yield pd.Series([None if x is None else own.decode(x) for x in lists], dtype=object)
+        return pd.Series([None if x is None else own.decode(x) for x in lists], dtype=object)
 
-    return decode_ids
+    return decode_lists
 
 
 @F.pandas_udf(T.StringType())
@@ -166,6 +164,7 @@ def encode_ids(docs: DataFrame, text_col: str, path: str, piece: int = PIECE) ->
     text is the empty text, which has no tokens. Repeated rows, and rows with equal ids or
     none, are told apart by a key of their own. Other columns stay as they are.
     """
+    in_small_batches(docs.sparkSession)
     key, text = free_name(docs, "row_key"), free_name(docs, "whole_text")
     columns = [c for c in docs.columns if c != "ids"]
     keyed = with_row_key(docs, key).withColumn(text, text_of(text_col))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectloom.llm.common import in_train_fold, table
+from subjectloom.llm.common import in_small_batches, in_train_fold, table
 
 #: n-grams of one to three characters go to so many columns, as a power of two.
 BITS = 16
@@ -74,6 +74,7 @@ def fit(
     Languages stand in order of their names. An empty table gives a model without languages.
     """
 
+    in_small_batches(docs.sparkSession)
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}

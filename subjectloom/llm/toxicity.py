@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectloom.llm.common import free_name, in_train_fold, table, with_row_key
+from subjectloom.llm.common import free_name, in_small_batches, in_train_fold, table, with_row_key
 from subjectloom.llm.hashing import AS_TERMS, word_hashes
 from subjectloom.operators.lookup import lookup_join
 from subjectloom.session import settled
@@ -151,6 +151,7 @@ def fit(
     empty text. Texts that occur repeatedly count once in the sample. Without positives or
     without other rows the model has no words and every text scores the prior.
     """
+    in_small_batches(rows.sparkSession)
     labelled = rows.select(
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
         F.col(f"`{label_col}`").alias("label"),
