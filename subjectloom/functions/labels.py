@@ -56,9 +56,13 @@ def parse_label_list(raw: Column, how: str = "evaluate") -> Column:
     return _none_to_empty(_tidy(raw, FORMATS[how]))
 
 
-def top_level(labels: Column) -> Column:
-    """``cs.LG`` -> ``cs``: each label up to its first dot, in lower case."""
-    return F.transform(labels, lambda x: F.lower(strip(F.substring_index(x, ".", 1))))
+def top_level(labels: Column, lower: bool = True) -> Column:
+    """``cs.LG`` -> ``cs``: each label up to its first dot, in lower case unless told not to."""
+    def top(label: Column) -> Column:
+        first = strip(F.substring_index(label, ".", 1))
+        return F.lower(first) if lower else first
+
+    return F.transform(labels, top)
 
 
 def restrict(labels: Column, allowed: Sequence[str]) -> Column:

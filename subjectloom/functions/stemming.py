@@ -1,12 +1,15 @@
-"""English suffix stripping (Porter 1980, with the usual later refinements) on a token table.
+"""English suffix stripping (Porter 1980, with the usual later refinements).
 
-Plain SQL projections, one per step, for a frame with one row per distinct token. Column
-``w`` is the word so far and ``s`` its *shape*, which spells each letter as ``c`` (consonant)
-or ``v`` (vowel); the measure of a stem is the number of ``vc`` pairs in its shape.
+Twice, so that one can be held against the other: ``porter_stem`` for one token, which the
+operators use, and plain SQL projections, one per step, for a frame with one row per distinct
+token. There column ``w`` is the word so far and ``s`` its *shape*, which spells each letter as
+``c`` (consonant) or ``v`` (vowel); the measure of a stem is the number of ``vc`` pairs in it.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 
 # Whole words with their own stem.
@@ -145,3 +148,91 @@ def porter_stems(words: DataFrame) -> DataFrame:
     for step in projections():
         df = df.selectExpr("token", *[f"{sql} AS {name}" for name, sql in step.items()])
     return df.selectExpr("token", f"{final_choice()} AS stem")
+
+
+def _letters(word: str) -> str:
+    """The shape of a word: y after a consonant counts as a vowel, else as a consonant."""
+    out: list[str] = []
+    for c in word:
+        if c == "y":
+            out.append("v" if out and out[-1] == "c" else "c")
+        else:
+            out.append("v" if c in "aeiou" else "c")
+    return "".join(out)
+
+
+def _pairs(word: str) -> int:
+    return _letters(word).count("vc")
+
+
+def _is_short(word: str) -> bool:
+    shape = _letters(word)
+    return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
+
+
+def _longest(word: str, rules) -> tuple[str, str] | None:
+    found = [rule for rule in rules if word.endswith(rule[0])]
+    return max(found, key=lambda rule: len(rule[0])) if found else None
+
+
+def _strip(word: str, rules, allowed) -> str:
+    rule = _longest(word, rules)
+    if rule is None:
+        return word
+    stem = word[: len(word) - len(rule[0])]
+    return stem + rule[1] if allowed(stem, rule[0]) else word
+
+
+def _without_past(word: str) -> str:
+    if word.endswith("ied"):
+        return word[:-1] if len(word) == 4 else word[:-2]
+    if word.endswith("eed"):
+        return word[:-1] if _pairs(word[:-3]) > 0 else word
+    for suffix in ("ed", "ing"):
+        stem = word[: -len(suffix)]
+        if not word.endswith(suffix):
+            continue
+        if "v" not in _letters(stem):
+            return word
+        if stem.endswith(("at", "bl", "iz")):
+            return stem + "e"
+        if len(stem) > 1 and stem[-1] == stem[-2] and _letters(stem)[-1] == "c":
+            return stem if stem[-1] in "lsz" else stem[:-1]
+        return stem + "e" if _pairs(stem) == 1 and _is_short(stem) else stem
+    return word
+
+
+@functools.lru_cache(maxsize=1 << 18)
+def porter_stem(token: str | None) -> str | None:
+    """The stem of one token; words of up to two letters are only lower-cased."""
+    if token is None:
+        return None
+    word = token.lower()
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    if len(token) <= 2:
+        return word
+    if word.endswith("ies") and len(word) == 4:
+        word = word[:-1]
+    else:
+        word = _strip(word, PLURALS, lambda stem, suffix: True)
+    word = _without_past(word)
+    if word.endswith("y") and len(word) > 2 and _letters(word[:-1])[-1] == "c":
+        word = word[:-1] + "i"
+    if word.endswith("alli") and _pairs(word[:-4]) > 0:
+        word = word[:-2]
+    if word.endswith("logi") and _pairs(word[:-3]) > 0:
+        word = word[:-1]
+    else:
+        word = _strip(word, DOUBLE_SUFFIXES, lambda stem, suffix: _pairs(stem) > 0)
+    word = _strip(word, SINGLE_SUFFIXES, lambda stem, suffix: _pairs(stem) > 0)
+    word = _strip(
+        word, LONG_STEM_SUFFIXES,
+        lambda stem, suffix: _pairs(stem) > 1 and (suffix != "ion" or stem[-1:] in ("s", "t")),
+    )
+    before = word[:-1]
+    if word.endswith("e") and (
+        _pairs(before) > 1 or (_pairs(before) == 1 and not _is_short(before))
+    ):
+        word = before
+    return word[:-1] if word.endswith("ll") and _pairs(word[:-1]) > 1 else word

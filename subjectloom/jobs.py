@@ -53,6 +53,8 @@ def preprocess(
 ) -> None:
     """Corpus to the clean table ``(id, text_clean[, label])``: an exact seeded sample if one
     is asked for, then cleaning, with stems or with the lemmas of a table."""
+    if use_stem and lemmas is not None:
+        raise ValueError("choose stems or lemmas, not both")
     df = corpus.select(*[c for c in (id_col, text_col, label_col) if c])
     df = df.withColumnRenamed(id_col, "id") if id_col else with_ids(df)
     df = sample_exact(df, "id", sample, SEED)
@@ -61,9 +63,13 @@ def preprocess(
     if not use_stem and lemmas is None:
         clean_text = X.normalize_text(text, min_length=min_length).alias("text_clean")
         clean = df.select("id", clean_text, *label)
+    elif use_stem:
+        words = stem_tokens(df.select("id", X.word_tokens(text).alias("tokens"), *label))
+        joined = F.array_join(X.drop_short(F.col("tokens"), min_length), " ")
+        clean = words.withColumn("tokens", joined).withColumnRenamed("tokens", "text_clean")
     else:
         words = df.select("id", X.word_tokens(text).alias("tokens"))
-        words = stem_tokens(words, "id") if use_stem else lemmatize_tokens(words, lemmas, "id")
+        words = lemmatize_tokens(words, lemmas, "id")
         joined = F.array_join(X.drop_short(F.col("tokens"), min_length), " ")
         clean = words.select("id", joined.alias("text_clean"))
         clean = clean.join(df.select("id", *label), "id") if label else clean

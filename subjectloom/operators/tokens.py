@@ -1,7 +1,7 @@
-"""Replacing tokens through a vocabulary-sized table: stems and lemmas.
+"""Replacing tokens: stems by rule, lemmas through a table.
 
-A replacement is worked out once per distinct token, not once per occurrence, and is then put
-back into the documents.
+Stems follow from the token alone, so they are put in where the tokens are: once per distinct
+token of an Arrow batch, with nothing exploded or shuffled. Lemmas come from a table:
 
 * A table that can be broadcast is applied to whole Arrow batches of token lists, in place:
   nothing is exploded and no document is shuffled.
@@ -9,6 +9,9 @@ back into the documents.
   and all of the skew. What is left, rare tokens by definition, is the only part that is
   shuffled by token. Documents are then shuffled once, by id and before they are exploded, so
   putting the tokens together again needs no further exchange.
+
+Both ways give the same rows: the table has one replacement per key before it is measured, and
+documents are told apart by a key of their own, not by the user's id.
 """
 
 from __future__ import annotations
@@ -21,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subjectloom.functions.stemming import porter_stems
+from subjectloom.functions.stemming import porter_stem
 from subjectloom.operators.lookup import fits_broadcast, row_bytes, within_limits
-from subjectloom.session import settled, written
+from subjectloom.session import settled
 
 
 def distinct_tokens(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -31,12 +34,6 @@ def distinct_tokens(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     return df.select(F.explode(F.array_distinct(tokens_col)).alias("token")).distinct()
 
 
-def _spread(tokens: DataFrame) -> DataFrame:
-    """Few bytes but much work per row: keep all shuffle partitions, uncoalesced."""
-    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tokens.repartition(parts, "token")
-
-
 def noun_tags(tokens: Column) -> Column:
     """The tag list used where no tagger has been run: every token counts as a noun."""
     return F.transform(tokens, lambda _: F.lit("n"))
@@ -65,10 +62,15 @@ def replace_tokens(
     """``(id, tokens)`` with every token found in ``table`` replaced, order kept.
 
     ``table`` is ``(token, replacement)``, or ``(token, tag, replacement)`` when ``tags_col``
-    names an array that runs parallel to the tokens. Tokens it lacks stay as they are.
+    names an array that runs parallel to the tokens. Tokens it lacks stay as they are; of
+    several replacements for a key the smallest counts, and rows without a key count for none.
+    Rows of ``df`` with the same id, or with none, stay rows of their own; null tokens give an
+    empty list. ``df`` is read more than once if the table is large, so it should be a table or
+    a narrow projection of one.
     """
     keys = ["token"] if tags_col is None else ["token", "tag"]
-    table = settled(table.select(*keys, "replacement"))
+    known = table.dropna(subset=[*keys, "replacement"]).groupBy(*keys)
+    table = settled(known.agg(F.min("replacement").alias("replacement")))
     if fits_broadcast(table):
         return _replace_in_place(df, table, id_col, tokens_col, tags_col)
     pair = F.transform(F.col(tokens_col), lambda t: F.struct(t.alias("token")))
@@ -77,10 +79,10 @@ def replace_tokens(
             tokens_col, tags_col, lambda t, g: F.struct(t.alias("token"), g.alias("tag"))
         )
     exploded = (
-        df.select(id_col, pair.alias("_pairs"))
-        .repartition(id_col)
-        .select(id_col, F.posexplode_outer("_pairs").alias("_pos", "_pair"))
-        .select(id_col, "_pos", "_pair.*")
+        df.select(F.monotonically_increasing_id().alias("_row"), id_col, pair.alias("_pairs"))
+        .repartition("_row")
+        .select("_row", id_col, F.posexplode_outer("_pairs").alias("_pos", "_pair"))
+        .select("_row", id_col, "_pos", "_pair.*")
     )
     placed = _replace_by_frequency(exploded, table, keys, id_col)
     return placed.select(
@@ -135,7 +137,9 @@ def _gather(joined: DataFrame, id_col: str) -> DataFrame:
         F.col("_pos").isNotNull(),
         F.struct("_pos", F.coalesce("replacement", "token").alias("t")),
     )
-    return joined.groupBy(id_col).agg(F.collect_list(placed).alias("_placed"))
+    return joined.groupBy("_row").agg(
+        F.first(id_col).alias("_id"), F.collect_list(placed).alias("_placed")
+    )
 
 
 def _replace_by_frequency(
@@ -147,11 +151,12 @@ def _replace_by_frequency(
     joined = exploded.join(F.broadcast(frequent), keys, "left")
     settled_here = F.col("_n").isNotNull() | F.col("_pos").isNull()
     done = _gather(joined.where(settled_here), id_col)
-    rare = joined.where(~settled_here).select(id_col, "_pos", *keys)
-    rest = _gather(rare.join(table, keys, "left"), id_col).withColumnRenamed("_placed", "_rare")
+    rare = joined.where(~settled_here).select("_row", id_col, "_pos", *keys)
+    rest = _gather(rare.join(table, keys, "left"), id_col)
+    rest = rest.withColumnsRenamed({"_placed": "_rare", "_id": "_other"})
     none = F.array().cast(done.schema["_placed"].dataType)
-    return done.join(rest, id_col, "full").select(
-        id_col,
+    return done.join(rest, "_row", "full").select(
+        F.coalesce("_id", "_other").alias(id_col),
         F.concat(F.coalesce("_placed", none), F.coalesce("_rare", none)).alias("_placed"),
     )
 
@@ -173,21 +178,25 @@ def _frequent_from(known: DataFrame) -> int:
     return 2**62 if lowest is None else 2**lowest
 
 
-def stem_table(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``(token, replacement)`` for the tokens whose stem differs from the token.
-
-    The stems are settled before they are filtered: pushed below the stemming steps, the
-    filter would repeat all of them.
-    """
-    stems = settled(porter_stems(_spread(distinct_tokens(df, tokens_col))))
-    return stems.where(F.col("stem") != F.col("token")).withColumnRenamed("stem", "replacement")
+def stem_tokens(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+    """``df`` with every token of ``tokens_col`` stemmed; all other columns pass through. The
+    work is done once per distinct token of a batch, in the task that holds the document."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(tokens_col)
+            lists = batch.column(at)
+            coded = lists.flatten().dictionary_encode()
+            stems = [porter_stem(t) for t in coded.dictionary.to_pylist()]
+            new = pa.array(stems, pa.string()).take(coded.indices)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0)
+            ends = pc.cumulative_sum(sizes).cast(pa.int32())
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+            columns = [*batch.columns]
+            columns[at] = pa.ListArray.from_arrays(offsets, new)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-def stem_tokens(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """``(id, tokens)`` with every token stemmed. The tokens are written once, for they are
-    read twice and cleaning text costs far more than reading it."""
-    df = written(df.select(id_col, tokens_col), "tokens")
-    return replace_tokens(df, stem_table(df, tokens_col), id_col, tokens_col)
+    return df.mapInArrow(run, df.schema)
 
 
 def lemmatize_tokens(

@@ -165,7 +165,7 @@ def _stem_ctes() -> list[str]:
 @query("stem_tokens", with_ctes(BARE, TOKENS, WORDS, _PLACED, *_stem_ctes())
        + _rejoined("stem", "placed JOIN stems USING (token)"))
 def stems(spark, sf_dir):
-    return _joined(stem_tokens(_word_frame(spark, sf_dir), "doc_id"))
+    return _joined(stem_tokens(_word_frame(spark, sf_dir)))
 
 
 @query("lemma_join", with_ctes(BARE, TOKENS, WORDS, _PLACED, """

@@ -36,7 +36,8 @@ def _marks(quality: Column, toxic: Column) -> Column:
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a hierarchical, multi-valued label string."""
     marks = table(spark, sf_dir, "labels")
-    return documents(spark, sf_dir).join(marks, "doc_id", "left").withColumn(
+    rows = spread(documents(spark, sf_dir), "doc_id")
+    return rows.join(marks, "doc_id", "left").withColumn(
         "label", F.concat("lang", F.lit("."), "source", _marks(F.col("quality"), F.col("toxic")))
     )
 
@@ -139,7 +140,7 @@ def lexical_scorer(model: str):
 
 def scored(spark: SparkSession, sf_dir: str, model: str = "both") -> DataFrame:
     """``(doc_id, y, scores)`` of one scorer, with the true label vector."""
-    df = spread(subject_sets(spark, sf_dir), "doc_id")
+    df = subject_sets(spark, sf_dir)
     return lexical_scorer(model)(df).select(
         "doc_id", multi_hot(F.col("labels"), CLASSES).alias("y"), "scores"
     )

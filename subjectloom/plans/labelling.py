@@ -21,7 +21,6 @@ from subjectloom.plans.frames import (
 )
 from subjectloom.session import fresh_path
 from subjectloom.sources import sinks
-from subjectloom.sources.readers import spread
 
 _NAMES = ", ".join(f"'{c}'" for c in CLASSES)
 _ROWS = ", ".join(f"({i}, {c!r})" for i, c in enumerate(CLASSES))
@@ -54,14 +53,15 @@ for _how, _fmt in L.FORMATS.items():
 
 
 @query("labels_toplevel", with_ctes(LABELLED, MESSY) + """
-SELECT doc_id, coalesce(string_agg(split_part(tok, '.', 1), '+' ORDER BY pos), '') AS tops
-FROM (SELECT doc_id, unnest(k) AS tok, generate_subscripts(k, 1) AS pos FROM (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(raw), '[,;/|]|\\s+'),
-                             lambda x: x <> '') AS k
-  FROM messy WHERE raw IS NOT NULL)) GROUP BY doc_id""")
+SELECT d.doc_id, coalesce(string_agg(split_part(tok, '.', 1), '+' ORDER BY pos), '') AS tops
+FROM documents d LEFT JOIN (
+  SELECT doc_id, unnest(k) AS tok, generate_subscripts(k, 1) AS pos FROM (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(raw), '[,;/|]|\\s+'),
+                               lambda x: x <> '') AS k
+    FROM messy WHERE raw IS NOT NULL)) t USING (doc_id) GROUP BY d.doc_id""")
 def labels_toplevel(spark, sf_dir):
     parsed = L.parse_labels(F.col("raw"), "evaluate")
-    return messy_labels(spark, sf_dir).where("raw IS NOT NULL").select(
+    return messy_labels(spark, sf_dir).select(
         "doc_id", F.array_join(L.top_level(parsed), "+").alias("tops")
     )
 
@@ -154,16 +154,21 @@ def label_counts(spark, sf_dir):
     return V.label_counts(subject_sets(spark, sf_dir))
 
 
-_WANTED = ("de", "en", "it", "q", "xx")
+_WANTED = ("de", "DE", "en", "it", "Q", "q", "xx")
 
 
-@query("label_counts_wanted", with_ctes(LABELLED, SUBJECTS) + """
-SELECT w.label, count(r.label) AS n_docs
-FROM (VALUES ('de'), ('en'), ('it'), ('q'), ('xx')) w(label) LEFT JOIN label_rows r USING (label)
+@query("label_counts_wanted", with_ctes(LABELLED, MESSY) + f"""
+, tokens AS (
+  SELECT DISTINCT doc_id, split_part(tok, '.', 1) AS label FROM (
+    SELECT doc_id, unnest(list_filter(regexp_split_to_array(raw, '{L.FORMATS["count"][0]}'),
+                                      lambda x: x <> '')) AS tok FROM messy))
+SELECT w.label, count(t.label) AS n_docs
+FROM (VALUES {", ".join(f"('{w}')" for w in _WANTED)}) w(label) LEFT JOIN tokens t USING (label)
 GROUP BY w.label""")
 def label_counts_wanted(spark, sf_dir):
-    df = labelled(spark, sf_dir).select(
-        L.top_level(L.parse_labels(F.col("label"), "count")).alias("labels")
+    """Labels as typed: the counter keeps their case."""
+    df = messy_labels(spark, sf_dir).select(
+        L.top_level(L.parse_labels(F.col("raw"), "count"), lower=False).alias("labels")
     )
     return V.label_counts_wanted(df, _WANTED)
 
@@ -174,7 +179,7 @@ SELECT r.label, count(*) AS n_docs, sum(length(c.text_clean)) ::BIGINT AS n_clea
 FROM label_rows r JOIN clean c USING (doc_id) GROUP BY r.label""")
 def clean_label_counts(spark, sf_dir):
     """Corpus to clean text to label sets to counts: the preparation stage in one plan."""
-    prepared = spread(labelled(spark, sf_dir), "doc_id").select(
+    prepared = labelled(spark, sf_dir).select(
         X.normalize_text(F.col("text")).alias("text_clean"),
         L.subjects(F.col("label"), CLASSES).alias("labels"),
     ).where(F.size("labels") > 0)

@@ -24,7 +24,6 @@ from subjectloom.plans.frames import (
     stacked,
 )
 from subjectloom.session import fresh_path
-from subjectloom.sources.readers import spread
 from subjectloom.streaming import scoring as streaming
 
 L = len(CLASSES)
@@ -90,7 +89,7 @@ SELECT doc_id, class_idx, CASE WHEN l.quality IS NULL THEN 1.0 / 6 ELSE score EN
 FROM one JOIN labelled l USING (doc_id)""")
 def uniform_fallback(spark, sf_dir):
     """Documents without marks count as not scored."""
-    rows = spread(labelled(spark, sf_dir).select("doc_id", "text", "quality"), "doc_id")
+    rows = labelled(spark, sf_dir).select("doc_id", "text", "quality")
     df = lexical_scorer("both")(rows).withColumn(
         "scores", F.when(F.col("quality").isNotNull(), F.col("scores"))
     )
@@ -224,7 +223,7 @@ def stream_score(spark, sf_dir):
     """The documents table read as a stream, scored, and written; then the sink's rows."""
     out, marks = fresh_path(spark, "scores"), fresh_path(spark, "scores-progress")
     schema = documents(spark, sf_dir).schema
-    stream = streaming.read_documents(spark, sf_dir, schema, "documents.parquet")
+    stream = streaming.read_table(spark, f"{sf_dir}/documents.parquet", schema)
     result = streaming.score_documents(stream, lexical_scorer("both")).select(
         "doc_id", bits(F.col("p")).alias("p")
     )

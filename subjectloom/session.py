@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,7 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="subjectloom-")
     if sc.getCheckpointDir() is None:
@@ -76,9 +78,38 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     """``df`` as a Parquet table in the shared folder. For large frames that several passes
     read, where working them out again costs more than reading them."""
     path = fresh_path(df.sparkSession, name)
+    _PATHS.append(path)
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    table.shared_path = path
+    return table
+
+
+_PATHS: list[str] = []
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """Gives a list that holds, at the end, the paths of all tables ``written`` meanwhile."""
+    start, paths = len(_PATHS), []
+    try:
+        yield paths
+    finally:
+        paths.extend(_PATHS[start:])
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes tables that ``written`` made, once nothing reads them any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """The same, for tables as ``written`` gave them."""
+    for table in tables:
+        remove(table.sparkSession, [table.shared_path])
 
 
 def settled(df: DataFrame) -> DataFrame:

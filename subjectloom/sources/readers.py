@@ -35,8 +35,13 @@ def scan_csv(
 
 
 def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(text)``: one document per line that is not blank, trimmed."""
-    lines = spark.read.text(path).select(strip(F.col("value")).alias("text"))
+    """``(text)``: one document per line that is not blank, trimmed. Bytes that are no UTF-8
+    are dropped."""
+    value = F.col("value")
+    readable = F.when(F.is_valid_utf8(value), value).otherwise(
+        F.replace(F.make_valid_utf8(value), F.lit("\ufffd"), F.lit(""))
+    )
+    lines = spark.read.text(path).select(strip(readable).alias("text"))
     return lines.where(F.col("text") != "")
 
 
@@ -70,8 +75,9 @@ def scan_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame, id_col: str) -> DataFrame:
-    """For a scan with fewer partitions than there are cores, as of one small file: rows are
-    dealt out by id before costly work on texts. Larger scans are left as they are."""
+    """For a bare scan with fewer partitions than there are cores, as of one small file: rows are
+    dealt out by id before costly work on texts. Larger scans are left as they are. Not for
+    frames with a join in them: their partitions can only be counted by running it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, id_col) if df.rdd.getNumPartitions() < cores else df
 

@@ -31,6 +31,19 @@ def read_documents(
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).parquet(folder)
 
 
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000
+) -> DataFrame:
+    """A Parquet table as a stream, whether it is one file or a folder of part files. A stream
+    needs a folder, so a single file is picked out of the one it lies in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getFileStatus(place).isDirectory():
+        return read_documents(spark, path, schema, files_per_batch=files_per_batch)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return read_documents(spark, folder, schema, name, files_per_batch)
+
+
 def score_documents(
     df: DataFrame,
     scorer: Scorer,

@@ -96,3 +96,10 @@ def test_spread_leaves_wide_scans_alone(spark):
     assert R.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == 8
     wide = spark.range(100).repartition(20)
     assert R.spread(wide, "id") is wide
+
+
+def test_bytes_that_are_no_text_are_dropped(spark, tmp_path):
+    path = tmp_path / "x.txt"
+    path.write_bytes(b"caf\xc3\xa9 \xff\xfebar\n\xff\nplain \xef\xbf\xbd kept\n")
+    got = [r["text"] for r in R.scan_text_lines(spark, str(path)).collect()]
+    assert got == ["café bar", "plain � kept"]

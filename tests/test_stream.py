@@ -54,3 +54,14 @@ def test_neighbours_by_batch(spark, small, tmp_path):
     query.awaitTermination()
     got = decisions(spark.read.parquet(str(tmp_path / "o")))
     assert got == decisions(score(spark.read.parquet(folder)))
+
+
+def test_a_table_is_a_stream_as_file_and_as_folder(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    folder = str(tmp_path / "docs.parquet")
+    docs.repartition(3).write.parquet(folder)
+    for name, path in (("one", f"{small}/documents.parquet"), ("many", folder)):
+        stream = S.read_table(spark, path, docs.schema).select("doc_id")
+        out = str(tmp_path / name)
+        S.write_scores(stream, out, str(tmp_path / f"{name}-marks")).awaitTermination()
+        assert spark.read.parquet(out).count() == docs.count()

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subjectloom.functions import text as X
-from subjectloom.functions.stemming import porter_stems
+from subjectloom.functions.stemming import porter_stem, porter_stems
 from subjectloom.operators.tokens import lemma_tags, lemmatize_tokens, replace_tokens, stem_tokens
 
 CASES = [
@@ -105,7 +105,7 @@ def test_empty_table_and_null_lists(spark):
 
 def test_stem_tokens(spark):
     df = spark.createDataFrame([(1, ["cats", "running", "sky"])], "id int, tokens array<string>")
-    assert stem_tokens(df, "id").first()["tokens"] == ["cat", "run", "sky"]
+    assert stem_tokens(df).first()["tokens"] == ["cat", "run", "sky"]
 
 
 def test_lemmas_by_tag(spark):
@@ -122,3 +122,41 @@ def test_lemmas_by_tag(spark):
     assert lemmatize_tokens(df, lemmas, "id").first()["tokens"] == ["meeting", "meeting", "better"]
     tags = spark.createDataFrame([(["JJ", "VB", "NNS", "RB", "XX"],)], "g array<string>")
     assert tags.select(lemma_tags(F.col("g"))).first()[0] == ["a", "v", "n", "r", "n"]
+
+
+@pytest.mark.parametrize("rows_limit", [0, 1, 100])
+def test_one_answer_whatever_the_size(spark, monkeypatch, rows_limit):
+    """Repeated keys, null keys, repeated and null ids, null tokens: the same rows either way."""
+    monkeypatch.setattr("subjectloom.operators.lookup.BROADCAST_ROWS", rows_limit)
+    df = spark.createDataFrame(
+        [(1, ["a", "cats"]), (1, ["cats", "b"]), (None, ["cats"]), (None, []), (2, None),
+         (3, ["x", None, "x"]), (3, ["x", None, "x"])], "id int, tokens array<string>",
+    ).coalesce(1)
+    table = spark.createDataFrame(
+        [("cats", "n", "cat"), ("cats", "n", "kitty"), ("cats", "v", "dog"), (None, "n", "no"),
+         ("b", None, "no"), ("x", "n", None), ("x", "n", "y")],
+        "token string, tag string, lemma string",
+    )
+    got = sorted(map(repr, [tuple(r) for r in lemmatize_tokens(df, table, "id").collect()]))
+    assert got == sorted(map(repr, [
+        (1, ["a", "cat"]), (1, ["cat", "b"]), (None, ["cat"]), (None, []), (2, []),
+        (3, ["y", None, "y"]), (3, ["y", None, "y"])]))
+
+
+def test_both_stemmers_agree_on_the_corpus(spark, small):
+    words = spark.read.parquet(f"{small}/documents.parquet").select(
+        F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("token")).distinct()
+    known = spark.createDataFrame([(w,) for w in STEMS[::2]], "token string")
+    rows = porter_stems(words.union(known).where("token <> ''")).collect()
+    assert len(rows) > 1000
+    assert {r["token"]: r["stem"] for r in rows} == {r["token"]: porter_stem(r["token"]) for r in rows}
+    assert [porter_stem(w) for w in STEMS[::2]] == STEMS[1::2]
+
+
+def test_stems_pass_other_columns_through(spark):
+    df = spark.createDataFrame(
+        [("k", ["cats", None], 1.5), (None, None, 2.5), ("k", [], None)],
+        "key string, tokens array<string>, x double",
+    )
+    assert [tuple(r) for r in stem_tokens(df).collect()] == [
+        ("k", ["cat", None], 1.5), (None, [], 2.5), ("k", [], None)]
