@@ -61,7 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="subjectloom-")
     if sc.getCheckpointDir() is None:

@@ -1,4 +1,5 @@
 import os
+from urllib.parse import urlparse
 
 from subjectloom.session import noting, release, remove, written
 
@@ -7,8 +8,9 @@ def test_written_tables_can_be_removed(spark):
     with noting() as paths:
         one, two = written(spark.range(3), "one"), written(spark.range(4), "two")
         assert (one.count(), two.count()) == (3, 4)
-    assert len(paths) == 2 and all(map(os.path.isdir, paths))
+    there = lambda: [os.path.isdir(urlparse(p).path) for p in paths]
+    assert there() == [True, True]
     release(one)
-    assert [os.path.isdir(p) for p in paths] == [False, True]
+    assert there() == [False, True]
     remove(spark, paths)
-    assert not any(map(os.path.isdir, paths))
+    assert there() == [False, False]
