@@ -19,7 +19,7 @@ from subjectloom.llm.common import (
 from subjectloom.llm.components import components
 from subjectloom.llm.hashing import AS_WORDS, shingles, word_hashes
 from subjectloom.operators.lookup import fits_broadcast
-from subjectloom.session import written
+from subjectloom.session import release, written
 
 #: Documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
@@ -173,7 +173,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     checked = joined.withColumn("linked", _linker(width, percent)("text_a", "text_b"))
-    return written(checked.where("linked").select("a", "b"), "verified")
+    links = written(checked.where("linked").select("a", "b"), "verified")
+    release(pairs, wanted, texts)
+    return links
 
 
 def _size_class(n: Column) -> Column:
@@ -244,6 +246,7 @@ def link_groups(
     )
     order = frequent_shingles(rows, width, frequent)
     made = written(_prefixes(rows, order, width, percent), "prefixes")
+    narrow = written(made.select("row_key", "id", "n", "low", "high"), "sets")
     sized = made.where("n > 0")
     nodes = written(
         sized.groupBy("low", "high").agg(
@@ -262,6 +265,7 @@ def link_groups(
     ).where("first <> last")
     lists = written(lists.select("shingle", "ahead"), "lists")
     members = written(listed.join(lists, "shingle").distinct(), "members")
+    release(made, lists)
 
     groups = nodes.groupBy("grp").agg(F.min("node").alias("chief"), F.count(F.lit(1)).alias("k"))
     groups = written(groups, "groups")
@@ -298,7 +302,6 @@ def link_groups(
     smallest = found.groupBy("component").agg(F.min("id").alias("component_id"))
     named = found.drop("id").join(smallest, "component")
     named = written(named.select("low", "high", "component", "component_id"), "named")
-    narrow = made.select("row_key", "id", "n", "low", "high")
     linked = narrow.where("n > 0").join(named, ["low", "high"])
     alone = narrow.where("n = 0").withColumns(
         {"component": F.col("row_key"), "component_id": F.col("id")}
