@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subjectloom.session import settled
+
 
 def _count_cells(df: DataFrame, cells: Column, by: Sequence[str]) -> DataFrame:
     """A pair of 0/1 cells comes as one number, truth * 2 + prediction, so what is exploded is
@@ -90,24 +92,39 @@ def exact_match(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _sample_average(df: DataFrame) -> DataFrame:
-    """Precision, recall and F1 of each document's label set, averaged over documents."""
+def _counts_and_samples(df: DataFrame, n_classes: int) -> DataFrame:
+    """One pass over the documents: counts per class, and as class ``n_classes`` the averages of
+    each document's precision, recall and F1."""
     ones = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
     both = F.zip_with("y", "p", lambda t, q: t * q)
-    per_doc = df.select(ones(both).alias("tp"), ones("y").alias("t"), ones("p").alias("q"))
-    tp, fp, fn = F.col("tp"), F.col("q") - F.col("tp"), F.col("t") - F.col("tp")
-    return per_doc.agg(
-        F.avg(precision(tp, fp)).alias("precision"),
-        F.avg(recall(tp, fn)).alias("recall"),
-        F.avg(f1(tp, fp, fn)).alias("f1"),
-        F.sum("t").alias("support"),
+    sized = df.select(
+        F.zip_with(*_CELLS).alias("cells"), ones(both).alias("d_tp"), ones("y").alias("d_t"),
+        ones("p").alias("d_q"),
+    )
+    cells = F.concat("cells", F.array(F.lit(-1)))
+    rows = sized.select("d_tp", "d_t", "d_q", F.posexplode_outer(cells).alias("class_idx", "cell"))
+    tp, fp, fn = F.col("d_tp"), F.col("d_q") - F.col("d_tp"), F.col("d_t") - F.col("d_tp")
+    whole = F.col("class_idx") == n_classes
+    return rows.groupBy("class_idx").agg(
+        F.count_if(F.col("cell") == 3).alias("tp"),
+        F.count_if(F.col("cell") == 1).alias("fp"),
+        F.count_if(F.col("cell") == 2).alias("fn"),
+        F.avg(F.when(whole, precision(tp, fp))).alias("precision"),
+        F.avg(F.when(whole, recall(tp, fn))).alias("recall"),
+        F.avg(F.when(whole, f1(tp, fp, fn))).alias("f1"),
+        F.coalesce(F.sum(F.when(whole, F.col("d_t"))), F.lit(0)).alias("support"),
     )
 
 
 def classification_report(df: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     """``(kind, label, precision, recall, f1, support)``: one row per class, then the micro,
-    macro, weighted and samples averages."""
-    per_class = confusion_per_class(df, vocabulary)
+    macro, weighted and samples averages. The documents are read once; all rows come from the
+    small table of counts."""
+    counted = settled(_counts_and_samples(df, len(vocabulary)))
+    name = F.get(F.array(*[F.lit(v) for v in vocabulary]), F.col("class_idx"))
+    per_class = counted.where(F.col("class_idx") < len(vocabulary)).select(
+        "class_idx", name.alias("label"), "tp", "fp", "fn"
+    )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     rows = per_class.select(
         "class_idx", "label", "tp", "fp", "fn",
@@ -134,7 +151,9 @@ def classification_report(df: DataFrame, vocabulary: Sequence[str]) -> DataFrame
         ).alias("averages")
     ).select(F.inline("averages"))
     columns = ["label", "precision", "recall", "f1", "support"]
-    samples = _sample_average(df).select(F.lit("samples avg").alias("label"), *columns[1:])
+    samples = counted.where(F.col("class_idx") == len(vocabulary)).select(
+        F.lit("samples avg").alias("label"), *columns[1:]
+    )
     return (
         rows.select(F.lit("class").alias("kind"), *columns)
         .unionByName(averages.select(F.lit("average").alias("kind"), *columns))
@@ -219,12 +238,15 @@ def align(truth: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
 
 
 def alignment_summary(truth: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
-    """How many rows are on both sides, and how many drop out of either."""
-    left = truth.select(id_col, F.lit(1).alias("in_truth"))
-    right = predicted.select(id_col, F.lit(1).alias("in_predicted"))
+    """How many rows of ``(id, y)`` and ``(id, p)`` are on both sides, how many drop out of
+    either, and the share of exact matches among those on both."""
+    left = truth.select(id_col, "y", F.lit(1).alias("in_truth"))
+    right = predicted.select(id_col, "p", F.lit(1).alias("in_predicted"))
+    on_both = F.col("in_truth").isNotNull() & F.col("in_predicted").isNotNull()
+    same = F.when(on_both, (F.col("y") == F.col("p")).cast("double"))
     return left.join(right, id_col, "full").agg(
-        F.count_if(F.col("in_truth").isNotNull() & F.col("in_predicted").isNotNull())
-        .alias("n_both"),
+        F.count_if(on_both).alias("n_both"),
         F.count_if(F.col("in_predicted").isNull()).alias("n_truth_only"),
         F.count_if(F.col("in_truth").isNull()).alias("n_predicted_only"),
+        F.coalesce(F.avg(same), F.lit(0.0)).alias("accuracy"),
     )

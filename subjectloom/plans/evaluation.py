@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subjectloom.functions import decide as D
-from subjectloom.functions.labels import multi_hot
+from subjectloom.functions.labels import multi_hot, subjects
 from subjectloom.operators import metrics as M
 from subjectloom.operators.ensembles import hard_vote, soft_vote
 from subjectloom.operators.one_vs_rest import balanced_weights as weigh
@@ -18,9 +18,11 @@ from subjectloom.plans.frames import (
     decided_sql,
     documents,
     labelled,
+    lexical_scorer,
     scored,
-    stacked,
+    side_by_side,
     subject_sets,
+    texts,
 )
 from subjectloom.plans.scoring import MEAN, SHARES, VOTES, L
 from subjectloom.session import written
@@ -167,8 +169,10 @@ SELECT model, round(any_value(accuracy), 6) AS accuracy, {_MACRO}
 FROM cells JOIN exact USING (model) GROUP BY model""")
 def model_comparison(spark, sf_dir):
     """Every model and both ensembles, scored from one pass over the texts."""
-    scores = written(stacked(spark, sf_dir), "scores")
-    single = scores.select("doc_id", "model", D.from_probabilities(F.col("scores")).alias("p"))
+    scores = written(side_by_side(spark, sf_dir), "scores")
+    single = scores.select("doc_id", F.inline("by_model")).select(
+        "doc_id", "model", D.from_probabilities(F.col("scores")).alias("p")
+    )
     soft = soft_vote(scores, "doc_id", L).select("doc_id", F.lit("ensemble soft").alias("model"), "p")
     hard = hard_vote(scores, "doc_id", L, 0.7).select(
         "doc_id", F.lit("ensemble hard").alias("model"), "p"
@@ -193,18 +197,14 @@ SELECT count(*) FILTER (t.doc_id IS NOT NULL AND p.doc_id IS NOT NULL) AS n_both
 FROM truth_side t FULL JOIN pred_side p USING (doc_id)""")
 def align_truth_pred(spark, sf_dir):
     """Truth for marked documents against predictions for the longer ones."""
-    truth = labelled(spark, sf_dir).where("quality IS NOT NULL").select("doc_id").join(
-        subject_sets(spark, sf_dir).select(
-            "doc_id", multi_hot(F.col("labels"), CLASSES).alias("y")
-        ), "doc_id",
+    truth = labelled(spark, sf_dir).where("quality IS NOT NULL").select(
+        "doc_id", multi_hot(subjects(F.col("label"), CLASSES), CLASSES).alias("y")
+    )
+    longer = texts(spark, sf_dir).where(F.length("text") > 500)
+    guesses = lexical_scorer("both")(longer).select(
+        "doc_id", D.from_probabilities(F.col("scores")).alias("p")
     )
-    longer = documents(spark, sf_dir).where(F.length("text") > 500).select("doc_id")
-    guesses = predicted(spark, sf_dir).select("doc_id", "p").join(longer, "doc_id")
-    accuracy = M.exact_match(M.align(truth, guesses, "doc_id"))
-    summary = M.alignment_summary(truth, guesses, "doc_id")
-    one_row = F.lit(1).alias("_row")
-    joined = summary.select("*", one_row).join(accuracy.select("*", one_row), "_row").drop("_row")
-    return rounded(joined, "accuracy")
+    return rounded(M.alignment_summary(truth, guesses, "doc_id"), "accuracy")
 
 
 @query("balanced_weights", with_ctes(LABELLED, SUBJECTS, EVIDENCE) + """

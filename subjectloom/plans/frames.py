@@ -146,14 +146,15 @@ def scored(spark: SparkSession, sf_dir: str, model: str = "both") -> DataFrame:
     )
 
 
-def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, model, scores)`` of all scorers, the text being read and split once."""
+def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, by_model)``: the scores of all scorers in name order, the text being read and
+    split once and never moved."""
     df = with_words(texts(spark, sf_dir))
     models = F.array(*[
         F.struct(F.lit(m).alias("model"), _scores(F.col("words"), F.col("text"), m).alias("scores"))
-        for m in SCORERS
+        for m in sorted(SCORERS)
     ])
-    return df.select("doc_id", F.inline_outer(models))
+    return df.select("doc_id", models.alias("by_model"))
 
 
 def _marker_rows() -> str:

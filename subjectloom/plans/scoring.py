@@ -21,7 +21,7 @@ from subjectloom.plans.frames import (
     lexical_scorer,
     long_scores,
     scored,
-    stacked,
+    side_by_side,
 )
 from subjectloom.session import fresh_path
 from subjectloom.streaming import scoring as streaming
@@ -194,7 +194,7 @@ shares AS (
 SELECT doc_id, string_agg(p::VARCHAR, '' ORDER BY class_idx) AS p, round(max(score), 6) AS best
 FROM d GROUP BY doc_id""")
 def ensemble_soft(spark, sf_dir):
-    return soft_vote(stacked(spark, sf_dir), "doc_id", L).select(
+    return soft_vote(side_by_side(spark, sf_dir), "doc_id", L).select(
         "doc_id", bits(F.col("p")).alias("p"), F.round(F.array_max("scores"), 6).alias("best")
     )
 
@@ -204,7 +204,7 @@ SELECT doc_id, string_agg((n_votes * 2 > 3)::INT::VARCHAR, '' ORDER BY class_idx
 FROM shares GROUP BY doc_id""")
 def ensemble_hard(spark, sf_dir):
     """Strict majority only; documents without one stay empty."""
-    return hard_vote(stacked(spark, sf_dir), "doc_id", L, 0.7).select(
+    return hard_vote(side_by_side(spark, sf_dir), "doc_id", L, 0.7).select(
         "doc_id", bits(D.above(F.col("share"), 0.5)).alias("p")
     )
 
@@ -212,7 +212,7 @@ def ensemble_hard(spark, sf_dir):
 @query("ensemble_hard_fallback", with_ctes(
     *BASE, VOTES, SHARES, decided_sql("shares", "d", "n_votes * 2 > 3", 1)) + _vector("d"))
 def ensemble_hard_fallback(spark, sf_dir):
-    return hard_vote(stacked(spark, sf_dir), "doc_id", L, 0.7).select(
+    return hard_vote(side_by_side(spark, sf_dir), "doc_id", L, 0.7).select(
         "doc_id", bits(F.col("p")).alias("p")
     )
 
