@@ -1,22 +1,25 @@
 """The stages as whole jobs joined by tables on shared storage: preprocess, split, train,
-predict, ensemble, evaluate. Each is a composition of the operators; options are arguments."""
+predict, judge, ensemble, evaluate, stream. Each is a composition of the operators; options are arguments."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from subjectloom.functions import decide as D
 from subjectloom.functions import labels as L
 from subjectloom.functions import text as X
+from subjectloom.functions.vectors import as_vector
 from subjectloom.operators import metrics as M
-from subjectloom.operators.encoding import feature_stages
+from subjectloom.operators.encoding import Encoder, encode_with, feature_stages
 from subjectloom.operators.ensembles import hard_vote, soft_vote, stack_models
-from subjectloom.operators.models import fit_model
+from subjectloom.operators.models import Model, fit_model
 from subjectloom.operators.sampling import sample_exact
 from subjectloom.operators.splitting import SEED, TEST_SIZE, split_stratified
 from subjectloom.operators.tokens import lemmatize_tokens, stem_tokens
@@ -25,6 +28,7 @@ from subjectloom.session import written
 from subjectloom.sources import sinks
 from subjectloom.sources.model_store import load_model, load_models, save_model
 from subjectloom.sources.readers import drop_null_rows, filled, require_rows
+from subjectloom.streaming.scoring import write_scores_by_batch
 
 
 def with_ids(df: DataFrame) -> DataFrame:
@@ -108,6 +112,22 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.withColumn("labels", L.parse_labels(F.col("label"), "stored"))
 
 
+_ENCODER = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("column", T.StringType()),
+    T.StructField("use_stem", T.BooleanType()), T.StructField("min_length", T.IntegerType()),
+])
+
+
+def _cleaned(df: DataFrame, text_col: str, use_stem: bool, min_length: int) -> DataFrame:
+    """Adds ``text_clean``: raw text prepared as ``preprocess`` does."""
+    if not use_stem:
+        clean = X.normalize_text(F.col(text_col), min_length=min_length)
+        return df.withColumn("text_clean", clean)
+    words = stem_tokens(df.withColumn("_tokens", X.word_tokens(F.col(text_col))), "_tokens")
+    kept = F.array_join(X.drop_short(F.col("_tokens"), min_length), " ")
+    return words.withColumn("text_clean", kept).drop("_tokens")
+
+
 def train(
     spark: SparkSession,
     folder: str,
@@ -116,20 +136,41 @@ def train(
     text_col: str = "text_clean",
     n_features: int = 1024,
     pca_components: int | None = None,
+    make_encoder: Callable[[], Encoder] | None = None,
+    vectors: DataFrame | None = None,
+    use_stem: bool = False,
+    min_length: int = 2,
     **params,
 ) -> None:
     """Fits the named models on ``folder/split`` and saves them under ``folder/models``. The
-    encoder is fitted once and the training texts are encoded once, for all of them."""
+    training texts are encoded once, for all of them: by TF-IDF stages fitted here, by an encoder
+    of the caller's (``make_encoder``), or not at all, with ready ``vectors (id, vector)``.
+
+    ``use_stem`` and ``min_length`` say how ``preprocess`` prepared the texts. They are saved, so
+    that raw texts are prepared the same way before a TF-IDF encoder sees them.
+    """
+    if make_encoder is not None and vectors is not None:
+        raise ValueError("give an encoder or ready vectors, not both")
     rows = _stored(sinks.read_split(spark, f"{folder}/split", "train")).withColumnRenamed(
         text_col, "text_clean"
     )
     vocabulary = vocabulary_list(learn_vocabulary(rows))
     rows = rows.withColumn("y", L.multi_hot(F.col("labels"), vocabulary))
-    encoder = feature_stages("text_clean", n_features, pca_components).fit(rows)
-    encoder.write().overwrite().save(f"{folder}/encoder")
-    encoded = written(
-        encoder.transform(rows).select("id", "features", "labels", "y"), "features"
-    )
+    kind = "tfidf"
+    if vectors is not None:
+        kind = "vectors"
+        ready = vectors.select("id", as_vector(F.col("vector")).alias("features"))
+        featured = rows.join(ready, "id")
+    elif make_encoder is not None:
+        kind = "plugged"
+        featured = _plugged(rows, "text_clean", make_encoder)
+    else:
+        encoder = feature_stages("text_clean", n_features, pca_components).fit(rows)
+        encoder.write().overwrite().save(f"{folder}/encoder")
+        featured = encoder.transform(rows)
+    config = spark.createDataFrame([(kind, text_col, use_stem, min_length)], _ENCODER)
+    sinks.write_config(config, f"{folder}/encoder_config")
+    encoded = written(featured.select("id", "features", "labels", "y"), "features")
     for name in names:
         model = fit_model(name, encoded, vocabulary, **params)
         save_model(spark, model, f"{folder}/models/{name.lower()}")
@@ -140,11 +181,34 @@ def train(
         sinks.write_config(config, f"{folder}/train_config/{name.lower()}")
 
 
-def encode(spark: SparkSession, folder: str, texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(…, features)`` by the saved encoder, blank and missing texts included."""
-    encoder = PipelineModel.load(f"{folder}/encoder")
-    ready = texts.withColumn("text_clean", filled(text_col))
+def _plugged(df: DataFrame, text_col: str, make_encoder: Callable[[], Encoder]) -> DataFrame:
+    encoded = encode_with(df, text_col, make_encoder, "_vector")
+    return encoded.withColumn("features", as_vector(F.col("_vector"))).drop("_vector")
+
+
+def encode(
+    spark: SparkSession, folder: str, texts: DataFrame, text_col: str = "text",
+    make_encoder: Callable[[], Encoder] | None = None,
+) -> DataFrame:
+    """``(…, features)`` as the models of ``folder`` were trained, blank and missing texts
+    included. A column of another name than the training texts' holds raw text, which is prepared
+    for a TF-IDF encoder as those were; a plugged encoder sees it as it is, and has to be given
+    again. Where models were trained on ready vectors, ``texts`` has them in ``vector``.
+    """
+    config = sinks.read_config(spark, f"{folder}/encoder_config", _ENCODER).first()
+    if config["kind"] == "vectors":
+        return texts.withColumn("features", as_vector(F.col("vector")))
     wanted = [c for c in texts.columns if c != "text_clean"]
+    if config["kind"] == "plugged":
+        if make_encoder is None:
+            raise ValueError("the models were trained on an encoder of your own; pass it again")
+        ready = _plugged(texts.withColumn("text_clean", filled(text_col)), "text_clean", make_encoder)
+        return ready.select(*wanted, "text_clean", "features")
+    if text_col == config["column"]:
+        ready = texts.withColumn("text_clean", filled(text_col))
+    else:
+        ready = _cleaned(texts, text_col, config["use_stem"], config["min_length"])
+    encoder = PipelineModel.load(f"{folder}/encoder")
     return encoder.transform(ready).select(*wanted, "text_clean", "features")
 
 
@@ -157,16 +221,69 @@ def predict(
     text_col: str = "text",
     threshold: float = D.THRESHOLD,
     top_k: int = D.TOP_K,
+    make_encoder: Callable[[], Encoder] | None = None,
 ) -> DataFrame:
     """``(id, scores, p, labels)`` of one saved model."""
     model = load_model(spark, f"{folder}/models/{name.lower()}")
-    scored = model.score(encode(spark, folder, texts, text_col))
-    decided = scored.select(
+    return _decided(model, encode(spark, folder, texts, text_col, make_encoder), threshold, top_k)
+
+
+def _decided(model: Model, encoded: DataFrame, threshold: float, top_k: int) -> DataFrame:
+    decided = model.score(encoded).select(
         "id", "scores", D.from_probabilities(F.col("scores"), threshold, top_k).alias("p")
     )
     return decided.withColumn("labels", L.labels_of(F.col("p"), model.vocabulary))
 
 
+class Judgement(NamedTuple):
+    totals: DataFrame
+    per_class: DataFrame
+    by_first: DataFrame
+    distribution: DataFrame
+
+
+def judge(
+    decisions: DataFrame, truth: DataFrame, vocabulary: Sequence[str]
+) -> Judgement:
+    """Predictions ``(id, p)`` held against ``truth (id, labels)``, from one written table of both:
+    accuracy and macro scores, counts per class, the grid of first labels, and how often each label
+    is true and predicted. Rows on one side only are left out."""
+    y = truth.select("id", L.multi_hot(F.col("labels"), vocabulary).alias("y"))
+    both = written(M.align(y, decisions.select("id", "p"), "id"), "judged")
+    named = both.withColumn("model", F.lit("model"))
+    return Judgement(
+        M.model_comparison(named, vocabulary).drop("model"),
+        M.confusion_per_class(both, vocabulary),
+        M.confusion_by_first(both, vocabulary),
+        M.label_distribution(both, vocabulary),
+    )
+
+
+def stream(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    documents: DataFrame,
+    path: str,
+    marks: str,
+    *,
+    text_col: str = "text",
+    threshold: float = D.THRESHOLD,
+    top_k: int = D.TOP_K,
+    make_encoder: Callable[[], Encoder] | None = None,
+) -> StreamingQuery:
+    """Scores a stream of documents ``(id, text)`` with a saved model, as ``predict`` does, into
+    the Parquet table at ``path``; ``marks`` holds the stream's progress. Each micro-batch is a
+    batch job, so models that join can be used too."""
+    model = load_model(spark, f"{folder}/models/{name.lower()}")
+
+    def score(batch: DataFrame) -> DataFrame:
+        encoded = encode(spark, folder, batch, text_col, make_encoder)
+        return _decided(model, encoded, threshold, top_k)
+
+    return write_scores_by_batch(documents, score, path, marks)
+
+
 class Ensemble(NamedTuple):
     vocabulary: list[str]
     votes: DataFrame
@@ -182,6 +299,7 @@ def ensemble(
     voting: str = "soft",
     threshold: float = D.THRESHOLD,
     top_k: int = D.TOP_K,
+    make_encoder: Callable[[], Encoder] | None = None,
 ) -> Ensemble:
     """All saved models on the same texts: ``votes`` is ``(id, p, …)``, ``stacked`` the scores
     per model. Texts are encoded once and every model scores them once."""
@@ -194,7 +312,8 @@ def ensemble(
     if len(vocabularies) > 1:
         raise ValueError("the models were trained on different labels")
     vocabulary = list(vocabularies.pop())
-    ready = written(encode(spark, folder, texts, text_col).select("id", "features"), "encoded")
+    ready = encode(spark, folder, texts, text_col, make_encoder).select("id", "features")
+    ready = written(ready, "encoded")
     scored = stack_models({n: m.score(ready) for n, m in models.items()}, "id")
     stacked = written(scored, "scores")
     vote = soft_vote if voting == "soft" else hard_vote
@@ -217,18 +336,20 @@ def compare(
 def evaluate(
     spark: SparkSession, folder: str, name: str, labelled: DataFrame, *,
     text_col: str = "text_clean", label_col: str = "label",
+    make_encoder: Callable[[], Encoder] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """A saved model on texts with raw labels: one row of totals, and the report per class.
     Uses the model's plain predictions, without threshold options or fallback."""
     model = load_model(spark, f"{folder}/models/{name.lower()}")
     vocabulary = [v.lower() for v in model.vocabulary]
+    ready = ["vector"] if "vector" in labelled.columns else []
     rows = drop_null_rows(labelled, text_col, label_col).select(
-        "id", text_col, L.subjects(F.col(label_col), vocabulary, "evaluate").alias("labels")
+        "id", text_col, L.subjects(F.col(label_col), vocabulary, "evaluate").alias("labels"), *ready
     ).where(F.size("labels") > 0)
     rows = require_rows(rows, "the category filter").withColumn(
         "y", L.multi_hot(F.col("labels"), vocabulary)
     )
-    scored = model.score(encode(spark, folder, rows, text_col))
+    scored = model.score(encode(spark, folder, rows, text_col, make_encoder))
     judged = written(
         scored.select("id", "y", D.by_default(F.col("scores")).alias("p")), "judged"
     )

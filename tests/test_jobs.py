@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from subjectloom import jobs
 from subjectloom.functions.labels import parse_labels
+from subjectloom.operators.encoding import encode_with
 from subjectloom.plans.frames import labelled
 from subjectloom.sources import sinks
 
@@ -83,3 +84,57 @@ def test_stems_and_missing_ids(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "l"))
     assert back.columns == ["id", "text_clean"]
     assert {r["text_clean"] for r in back.collect()} == {"running cats", "dog"}
+
+
+def decisions(df):
+    return {r["id"]: (r["p"], [round(x, 6) for x in r["scores"]]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("name", ["transformer", "knn"])
+def test_stream_equals_batch_on_raw_text(spark, folder, tmp_path, name):
+    """Raw text is prepared as the training texts were, in batch and stream alike."""
+    raw = labelled(spark, "/root/testdata/sf0.001").select(F.col("doc_id").alias("id"), "text")
+    raw.repartition(3).write.parquet(str(tmp_path / "in"))
+    documents = spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    jobs.stream(spark, folder, name, documents, out, str(tmp_path / "marks")).awaitTermination()
+    batch = decisions(jobs.predict(spark, folder, name, raw))
+    assert decisions(spark.read.parquet(out)) == batch
+    clean = spark.read.parquet(f"{folder}/clean").select("id", "text_clean")
+    ready = decisions(jobs.predict(spark, folder, name, clean, text_col="text_clean"))
+    assert ready == {i: batch[i] for i in ready}
+
+
+def test_judge(spark, folder):
+    rows = val(spark, folder)
+    truth = rows.select("id", parse_labels(F.col("label"), "stored").alias("labels"))
+    guesses = jobs.predict(spark, folder, "transformer", rows, text_col="text_clean")
+    seen = jobs.judge(guesses, truth, ["de", "en", "es", "fr", "q"])
+    assert seen.totals.count() == 1 and 0 <= seen.totals.first()["accuracy"] <= 1
+    assert seen.per_class.count() == 5 and seen.by_first.count() == 25
+    assert {r["tp"] + r["fp"] + r["fn"] + r["tn"] for r in seen.per_class.collect()} == {38}
+    assert sum(r["n_docs"] for r in seen.by_first.collect()) == 38
+    assert seen.distribution.count() == 5
+
+
+def test_own_encoder_and_ready_vectors(spark, folder, tmp_path):
+    def vowels():
+        return lambda texts: [[t.count(a) + 0.0 for a in "aeiouäéñ"] for t in texts]
+
+    root, rows = str(tmp_path / "own"), val(spark, folder)
+    sides = sinks.read_split(spark, f"{folder}/split").select("id", "text_clean", "label", "split")
+    sinks.write_split(sides.withColumn("labels", F.split("label", " ")).drop("label"), f"{root}/split")
+    jobs.train(spark, root, ["knn"], make_encoder=vowels)
+    with pytest.raises(ValueError, match="pass it again"):
+        jobs.predict(spark, root, "knn", rows, text_col="text_clean")
+    own = decisions(jobs.predict(
+        spark, root, "knn", rows, text_col="text_clean", make_encoder=vowels))
+    result = jobs.ensemble(spark, root, rows, text_col="text_clean", make_encoder=vowels)
+    assert len(own) == 38 and result.votes.count() == 38
+
+    vectors = encode_with(sides, "text_clean", vowels, "vector").select("id", "vector")
+    jobs.train(spark, root, ["knn"], vectors=vectors)
+    ready = decisions(jobs.predict(spark, root, "knn", rows.join(vectors, "id")))
+    assert ready == own
+    with pytest.raises(ValueError, match="not both"):
+        jobs.train(spark, root, ["knn"], make_encoder=vowels, vectors=vectors)
