@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
+#: Rows of one key that may meet in a task; a key with more of them is dealt over several.
+ROWS_PER_TASK = 1_000_000
 
 
 def row_bytes(table: DataFrame) -> Column:
@@ -47,14 +48,18 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to ``table`` on ``keys``, which are unique in ``table``.
 
-    The table is broadcast when its measured size allows. Otherwise both sides are shuffled
-    on the keys and a salt taken from ``spread_by``, so a key held by a large share of all
-    rows lands in ``SALTS`` tasks and not in one. Pass a table that has been settled: it is
-    measured first and joined afterwards.
+    The table is broadcast when its measured size allows. Otherwise both sides are shuffled on
+    the keys. If the most frequent key has more than ``ROWS_PER_TASK`` rows, a salt taken from
+    ``spread_by`` deals each key over as many tasks as that one needs. Pass a table that has been
+    settled: it is measured first and joined afterwards.
     """
     keys = list(keys)
     if fits_broadcast(table):
         return rows.join(F.broadcast(table), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    salts = -(-(most or 0) // ROWS_PER_TASK)
+    if salts <= 1:
+        return rows.join(table, keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

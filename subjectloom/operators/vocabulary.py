@@ -14,6 +14,11 @@ def fixed_vocabulary(spark: SparkSession, categories: Sequence[str]) -> DataFram
     return spark.createDataFrame(list(enumerate(names)), "class_idx int, label string")
 
 
+#: More labels than this are taken for free text, and refused: each is a class of its own, a
+#: column of every label vector and a fitted model.
+MAX_LABELS = 10_000
+
+
 def learn_vocabulary(df: DataFrame, labels_col: str = "labels") -> DataFrame:
     """``(class_idx, label)`` of the labels that occur, sorted. The numbering runs over the
     distinct labels only."""
@@ -25,7 +30,10 @@ def learn_vocabulary(df: DataFrame, labels_col: str = "labels") -> DataFrame:
 
 def vocabulary_list(vocabulary: DataFrame) -> list[str]:
     """The vocabulary on the driver: one short string per class."""
-    return [r["label"] for r in vocabulary.orderBy("class_idx").collect()]
+    rows = vocabulary.limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    return [r["label"] for r in sorted(rows, key=lambda r: r["class_idx"])]
 
 
 def label_counts(df: DataFrame, labels_col: str = "labels") -> DataFrame:

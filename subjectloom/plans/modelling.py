@@ -95,18 +95,35 @@ def embed_plug(spark, sf_dir):
 WITH cells AS (
   SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS dim
   FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)),
-centred AS (SELECT vec_id, dim, x - avg(x) OVER (PARTITION BY dim) AS x FROM cells)
-SELECT vec_id, round(sum(x * x), 6) AS spread FROM centred GROUP BY vec_id""")
+axes AS (SELECT dim, var_samp(x) AS spread FROM cells GROUP BY dim)
+SELECT 16 AS n_components, 0 AS n_skew, 0 AS n_off, round(sum(spread), 6) AS total,
+       true AS first_leads, true AS falling FROM axes""")
 def pca_project(spark, sf_dir):
-    """Onto all 64 components: a rotation of the centred vectors, so lengths stay."""
+    """Onto 16 of 64 components: pairs that are not orthonormal, components whose projections do
+    not have the share of the variance the model states, the variance of all axes, whether the
+    first component has more than any axis, and whether the shares fall."""
     df = table(spark, sf_dir, "embeddings").select(
         "vec_id", X.as_vector(F.col("embedding")).alias("raw")
     )
-    model = Pipeline(stages=projection_stages("raw", "features", 64)).fit(df)
-    squares = F.transform(X.as_array(F.col("features")), lambda x: x * x)
-    return model.transform(df).select(
-        "vec_id",
-        F.round(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x), 6).alias("spread"),
+    model = Pipeline(stages=projection_stages("raw", "features", 16)).fit(df)
+    axes, shares = model.stages[-1].pc.toArray(), model.stages[-1].explainedVariance.toArray()
+
+    def spreads(frame, column):
+        cells = frame.select(F.posexplode(X.as_array(F.col(column))).alias("dim", "x"))
+        return cells.groupBy("dim").agg(F.var_samp("x").alias("spread"))
+
+    whole = spreads(df, "raw").agg(F.sum("spread").alias("total"), F.max("spread").alias("widest"))
+    total, widest = whole.first()
+    stated = spark.createDataFrame(list(enumerate((shares * total).tolist())), "dim int, want double")
+    kept = spreads(model.transform(df), "features").join(stated, "dim")
+    skew = int((np.abs(axes.T @ axes - np.eye(axes.shape[1])) > 1e-6).sum())
+    return kept.agg(
+        F.count("*").cast("int").alias("n_components"),
+        F.lit(skew).alias("n_skew"),
+        F.count_if(F.abs(F.col("spread") - F.col("want")) > 1e-6).cast("int").alias("n_off"),
+        F.round(F.lit(total), 6).alias("total"),
+        (F.max("spread") >= widest).alias("first_leads"),
+        F.lit(bool((np.diff(shares) <= 1e-12).all())).alias("falling"),
     )
 
 
