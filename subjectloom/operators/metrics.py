@@ -238,6 +238,11 @@ def align(truth: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
 
 
 def alignment_summary(truth: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
+    """How many rows are on both sides, and how many drop out of either."""
+    return alignment_accuracy(truth, predicted, id_col).drop("accuracy")
+
+
+def alignment_accuracy(truth: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
     """How many rows of ``(id, y)`` and ``(id, p)`` are on both sides, how many drop out of
     either, and the share of exact matches among those on both."""
     left = truth.select(id_col, "y", F.lit(1).alias("in_truth"))

@@ -204,7 +204,7 @@ def align_truth_pred(spark, sf_dir):
     guesses = lexical_scorer("both")(longer).select(
         "doc_id", D.from_probabilities(F.col("scores")).alias("p")
     )
-    return rounded(M.alignment_summary(truth, guesses, "doc_id"), "accuracy")
+    return rounded(M.alignment_accuracy(truth, guesses, "doc_id"), "accuracy")
 
 
 @query("balanced_weights", with_ctes(LABELLED, SUBJECTS, EVIDENCE) + """
