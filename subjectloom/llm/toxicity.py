@@ -49,13 +49,15 @@ def fit_linear(
     positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = ROUNDS,
     rate: float = RATE, decay: float = DECAY,
 ) -> tuple[np.ndarray, float]:
-    """Weights and offset that minimise the non-negative risk with logistic loss.
+    """Weights and offset that minimise the non-negative risk with the sigmoid loss, which is
+    bounded, so that few confident scores cannot outweigh the rest.
 
     With g the score, the risk of a text being positive is estimated from the positives; that
     of being negative from the unlabelled texts, less what the positives among them add:
-    ``prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])``. Where the second part
-    falls below zero, the step goes the other way on it, so it cannot be driven down by
-    memorising. Adam over all rows.
+    ``prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])``, ``l(g) = 1 / (1 + e^g)``.
+    Where the second part falls below zero, the step goes the other way on it, so it cannot be
+    driven down by memorising. Adam over all rows. The offset is then lowered to the cut of
+    ``best_cut``, if that is below zero.
     """
     w = np.zeros(positive.shape[1] + 1)
     p = np.hstack([positive, np.ones((len(positive), 1), positive.dtype)])
@@ -63,16 +65,29 @@ def fit_linear(
     w[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        gp, gu = p @ w, u @ w
-        loss = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        negative = (_sigmoid(gu) @ u) / len(u) - prior * (_sigmoid(gp) @ p) / len(p)
-        toward = -prior * (_sigmoid(-gp) @ p) / len(p)
-        grad = toward + negative if loss >= 0 else -negative
+        sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
+        from_p = prior * ((sp * (1 - sp)) @ p) / len(p)
+        from_u = ((su * (1 - su)) @ u) / len(u)
+        grad = from_u - 2 * from_p if su.mean() >= prior * sp.mean() else from_p - from_u
         grad[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return w[:-1], float(w[-1])
+    return w[:-1], float(w[-1] - min(0.0, best_cut(p @ w, u @ w, prior)))
+
+
+def best_cut(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """The score from which on texts should count as positive, by what positive and unlabelled
+    texts can tell: the largest ``r * r / f``, which grows with precision and recall, where r is
+    the share of positives and f that of unlabelled texts at or above it (no less than the
+    positives among them). It lies half way to the next lower score."""
+    cuts = np.unique(positive)
+    p, u = np.sort(positive), np.sort(unlabelled)
+    r = 1 - np.searchsorted(p, cuts) / len(p)
+    f = np.maximum(1 - np.searchsorted(u, cuts) / len(u), np.maximum(prior * r, 1 / len(u)))
+    cut = cuts[int(np.argmax(r * r / f))]
+    below = max((x[np.searchsorted(x, cut) - 1] for x in (p, u) if x[0] < cut), default=cut - 1.0)
+    return float(cut + below) / 2
 
 
 class Model(NamedTuple):

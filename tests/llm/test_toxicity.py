@@ -11,9 +11,8 @@ from subjectloom.llm.toxicity import fit, fit_linear, score, with_labels
 
 
 def risk(w, b, p, u, prior):
-    gp, gu = p @ w + b, u @ w + b
-    rest = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-    return prior * np.logaddexp(0, -gp).mean() + max(0.0, rest)
+    sp, su = (1 / (1 + np.exp(-(x @ w + b))) for x in (p, u))
+    return prior * (1 - sp).mean() + max(0.0, su.mean() - prior * sp.mean())
 
 
 def test_risk_goes_down_and_unlabelled_positives_are_found():
@@ -28,6 +27,23 @@ def test_risk_goes_down_and_unlabelled_positives_are_found():
     assert flagged[:200].mean() > 0.8 and flagged[200:].mean() < 0.05
 
 
+def test_cut():
+    p, u = np.array([3.0, 2.0, -1.0, -4.0]), np.array([3.0, -1.5, -3.0, *[-5.0] * 17])
+    assert toxicity.best_cut(p, u, 0.05) == -1.25
+    assert toxicity.best_cut(np.array([1.0]), np.array([1.0]), 0.5) == 0.5
+
+
+def test_few_positives_without_telling_words_do_not_condemn_all(spark):
+    """Half of the confirmed texts look like any other text."""
+    rng = np.random.default_rng(1)
+    p = np.zeros((10, 6), np.float32)
+    p[:5] = rng.random((5, 6)) < 0.8
+    u = np.zeros((94, 6), np.float32)
+    u[:2] = p[:2]
+    w, b = fit_linear(p, u, 0.147)
+    assert b < 0 and ((u @ w + b) >= 0).mean() < 0.1
+
+
 def sample(n):
     rows = []
     for i in range(n):
