@@ -38,19 +38,19 @@ class Order(NamedTuple):
     shingles: np.ndarray
     seen: np.ndarray
 
-    def prefix(self, own: np.ndarray, percent: int) -> np.ndarray:
-        """The first shingles of a set, rare ones before frequent ones, else by hash. Two sets
-        that link have one of them in common."""
-        length = len(own) - -(-percent * len(own) // 100) + 1
+    def prefix(self, own: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+        """The first shingles of a set, rare ones before frequent ones, else by hash, and how
+        many of them are rare. Two sets that link have one of them in common."""
+        length = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0
         if not len(self.shingles):
-            return own[:length]
+            return own[:length], length
         at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
         frequent = self.shingles[at] == own
         rare = own[~frequent]
         if len(rare) >= length:
-            return rare[:length]
+            return rare[:length], length
         rest, seen = own[frequent], self.seen[at[frequent]]
-        return np.concatenate([rare, rest[np.lexsort((rest, seen))]])[:length]
+        return np.concatenate([rare, rest[np.lexsort((rest, seen))]])[:length], len(rare)
 
 
 def _sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
@@ -93,12 +93,13 @@ _LONG = T.LongType()
 
 
 def _prefixes(rows: DataFrame, order: Order, width: int, percent: int) -> DataFrame:
-    """``(row_key, id, n, low, high, grp, prefix)``: the size and a 128-bit digest of each set,
-    and the group of its prefix and size. The prefix is given once per task and group."""
+    """``(row_key, id, n, low, high, grp, rare, prefix)``: the size and a 128-bit digest of each
+    set, and the group of its prefix and size. The prefix, its first ``rare`` shingles the ones
+    that are not known as frequent, is given once per task and group."""
     shared = rows.sparkSession.sparkContext.broadcast(order)
     schema = T.StructType(
         [rows.schema["row_key"], rows.schema["id"],
-         *[T.StructField(c, _LONG) for c in ("n", "low", "high", "grp")],
+         *[T.StructField(c, _LONG) for c in ("n", "low", "high", "grp", "rare")],
          T.StructField("prefix", T.ArrayType(_LONG))]
     )
 
@@ -109,13 +110,13 @@ def _prefixes(rows: DataFrame, order: Order, width: int, percent: int) -> DataFr
             for own in _sets(batch.column("text").to_pylist(), width):
                 digest = xxhash.xxh3_128_digest(own.tobytes())
                 low, high = np.frombuffer(digest, np.int64).tolist()
-                first = shared.value.prefix(own, percent) if len(own) else own
+                first, rare = shared.value.prefix(own, percent)
                 group = xxhash.xxh3_64_intdigest(first.tobytes(), seed=len(own)) - 2**63
-                numbers.append((len(own), low, high, group))
+                numbers.append((len(own), low, high, group, rare))
                 fresh = len(own) > 0 and group not in given
                 prefixes.append(first.view(np.int64) if fresh else None)
                 given.add(group)
-            columns = np.array(numbers, np.int64).reshape(-1, 4).T
+            columns = np.array(numbers, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_key"), batch.column("id"),
                  *[pa.array(c, pa.int64()) for c in columns],
@@ -126,6 +127,37 @@ def _prefixes(rows: DataFrame, order: Order, width: int, percent: int) -> DataFr
     return rows.mapInArrow(build, schema)
 
 
+def _lists(listed: DataFrame) -> DataFrame:
+    """``(shingle, ahead)`` of the shingles that several groups have in their prefixes, with
+    the group that has it furthest ahead."""
+    return listed.groupBy("shingle").agg(
+        F.min("grp").alias("first"), F.max("grp").alias("last"),
+        F.min(F.struct("at", "grp", "n")).alias("ahead"),
+    ).where("first <> last").select("shingle", "ahead")
+
+
+def _members(sized: DataFrame) -> DataFrame:
+    """``(shingle, grp, n, at, ahead)``: the lists of two groups or more.
+
+    Most shingles are rare, and most of those stand in one list of one. A rare shingle has few
+    rows, so they are shuffled once, as they are, and both counted and joined from that. The
+    frequent ones are aggregated before the shuffle, and their join can be split.
+    """
+    listed = sized.where("prefix IS NOT NULL").select(
+        "grp", "n", "rare", F.posexplode("prefix").alias("at", "shingle")
+    )
+    columns = ["grp", "n", "at", "shingle"]
+    rare = listed.where("at < rare").select(*columns).repartition("shingle")
+    often = listed.where("at >= rare").select(*columns)
+    lists = written(_lists(often), "lists")
+    members = rare.join(_lists(rare), "shingle").distinct().unionByName(
+        often.join(lists, "shingle").distinct()
+    )
+    members = written(members, "members")
+    release(lists)
+    return members
+
+
 def _may_link(n: Column, at: Column, m: Column, to: Column, percent: int) -> Column:
     """Whether two sets of sizes ``n`` and ``m`` can link that share the shingle at places ``at``
     and ``to`` of their prefixes and none before: sizes within the ratio, and enough shingles
@@ -256,16 +288,8 @@ def link_groups(
         "nodes",
     )
 
-    listed = sized.where("prefix IS NOT NULL").select(
-        "grp", "n", F.posexplode("prefix").alias("at", "shingle")
-    )
-    lists = listed.groupBy("shingle").agg(
-        F.min("grp").alias("first"), F.max("grp").alias("last"),
-        F.min(F.struct("at", "grp", "n")).alias("ahead"),
-    ).where("first <> last")
-    lists = written(lists.select("shingle", "ahead"), "lists")
-    members = written(listed.join(lists, "shingle").distinct(), "members")
-    release(made, lists)
+    members = _members(sized)
+    release(made)
 
     groups = nodes.groupBy("grp").agg(F.min("node").alias("chief"), F.count(F.lit(1)).alias("k"))
     groups = written(groups, "groups")
