@@ -50,7 +50,7 @@ def in_train_fold(id_column: str) -> Column:
 
 
 #: Bytes of rows that are handed to Python at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def in_small_batches(spark: SparkSession) -> None:

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Texts are worked on together up to so many bytes; longer texts in segments of that size.
-PACK_BYTES = 1 << 20
+PACK_BYTES = 1 << 18
 
 # Odd 64-bit multipliers without structure.
 _BASE = 0x9E3779B97F4A7C15
