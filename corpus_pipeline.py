@@ -55,7 +55,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has. A document of which nothing is
     left goes: all its passages stand elsewhere. ``n_chars`` follows the text."""
-    edited = line_dedup.remove_repeats(docs, "doc_id", "text")
+    edited = line_dedup.remove_repeats(docs, "doc_id", "text", whole=True)
     changed = F.size("cut") > 0
     return (
         edited.where(~changed | (F.col("text") != ""))

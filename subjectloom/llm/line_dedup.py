@@ -1,14 +1,15 @@
-"""Repeated passages: multi-line chunks with content-defined boundaries, removed after a
-comparison of their bytes."""
+"""Repeated passages: multi-line chunks with content-defined boundaries, and all runs of lines
+with enough words, removed after a comparison of digests."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,8 @@ WINDOW = 2
 DIVISOR = 2
 #: ... and the chunk has so many lines that are not blank. Shorter ones are never removed ...
 MIN_LINES = 2
-#: ... but for a line of so many words, which is always a chunk of its own.
+#: ... but for a line of so many words, which is always a chunk of its own. Runs of lines with so
+#: many words are removed wherever they begin and end.
 LONG_WORDS = 50
 
 # Fixed value: an odd 64-bit multiplier without structure.
@@ -66,37 +68,99 @@ def chunks(lines: list[str]) -> list[tuple[int, int, bool]]:
     return found
 
 
-def _joined(lines: list[str], chunk: tuple[int, int, bool]) -> str:
-    return "\n".join(lines[chunk[0] : chunk[1]])
+Spans = Callable[[list[str]], list[tuple[int, int]]]
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def counted(lines: list[str]) -> list[tuple[int, int]]:
+    """The chunks that count."""
+    return [(a, b) for a, b, counts in chunks(lines) if counts]
+
+
+def runs(lines: list[str]) -> set[tuple[int, int]]:
+    """From every line on, and up to every line, the shortest run that has ``LONG_WORDS`` words.
+
+    Any run of lines with so many words is covered by those of them that lie in it: from a line
+    of it there are enough words to its end, or there are not and the run up to its end holds
+    the line. So a repeated passage meets its first occurrence in all of its lines, wherever in
+    its text it stands.
+    """
+    words = [len(line.split()) for line in lines]
+    found = set()
+    end = have = 0
+    for start in range(len(lines)):
+        while end < len(lines) and have < LONG_WORDS:
+            have += words[end]
+            end += 1
+        if have < LONG_WORDS:
+            break
+        found.add((start, end))
+        have -= words[start]
+    start, have = len(lines), 0
+    for end in range(len(lines), 0, -1):
+        while start > 0 and have < LONG_WORDS:
+            start -= 1
+            have += words[start]
+        if have < LONG_WORDS:
+            break
+        found.add((start, end))
+        have -= words[end - 1]
+    return found
+
+
+def passages(lines: list[str]) -> list[tuple[int, int]]:
+    """The chunks that count and the runs of enough words."""
+    return sorted(runs(lines).union(counted(lines)))
+
+
+def _joined(lines: list[str], start: int, end: int) -> str:
+    return "\n".join(lines[start:end])
+
+
+def _occurrences(
+    batches: Iterator[pa.RecordBatch], spans: Spans = counted
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, places, hashes = [], [], []
+        rows, starts, ends, hashes = [], [], [], []
         for row, text in enumerate(batch.column("text").to_pylist()):
             lines = text.split("\n")
-            for at, chunk in enumerate(chunks(lines)):
-                if chunk[2]:
-                    rows.append(row)
-                    places.append(at)
-                    hashes.append(_hash(_joined(lines, chunk)) - 2**63)
+            for start, end in spans(lines):
+                rows.append(row)
+                starts.append(start)
+                ends.append(end)
+                hashes.append(_hash(_joined(lines, start, end)) - 2**63)
         where = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("row_key").take(where), batch.column("id").take(where),
-             pa.array(places, pa.int32()), pa.array(hashes, pa.int64())],
-            names=["row_key", "id", "at", "hash"],
+             pa.array(starts, pa.int32()), pa.array(hashes, pa.int64()),
+             pa.array(ends, pa.int32())],
+            names=["row_key", "id", "at", "hash", "to"],
         )
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _texts(texts: pd.Series, wanted: pd.Series) -> pd.Series:
-    """The chunks asked for of each text."""
+def _all_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _occurrences(batches, passages)
+
+
+_LONGS = T.ArrayType(T.LongType())
+
+
+@F.pandas_udf(T.StructType([T.StructField("high", _LONGS), T.StructField("low", _LONGS)]))
+def _digests(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    """128 bits of BLAKE2b of each of the spans asked for."""
     out = []
-    for text, places in zip(texts, wanted, strict=True):
+    for text, first, after in zip(texts, starts, ends, strict=True):
         lines = text.split("\n")
-        found = chunks(lines)
-        out.append([_joined(lines, found[p]) for p in places])
-    return pd.Series(out, dtype=object)
+        made = [
+            hashlib.blake2b(
+                _joined(lines, a, b).encode("utf-8", "surrogatepass"), digest_size=16
+            ).digest()
+            for a, b in zip(first, after, strict=True)
+        ]
+        out.append([
+            [int.from_bytes(d[half], "big", signed=True) for d in made]
+            for half in (slice(8), slice(8, None))
+        ])
+    return pd.DataFrame(out, columns=["high", "low"])
 
 
 _CUT = T.ArrayType(
@@ -105,35 +169,47 @@ _CUT = T.ArrayType(
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("cut", _CUT)]))
-def _without(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
-    """Each text without the chunks given, and the lines they held (from 0, both ends)."""
+def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    """Each text without the spans given, and the lines they held (from 0, both ends); spans
+    that overlap are one."""
     out = []
-    for text, places in zip(texts, removed, strict=True):
-        if text is None or places is None:
+    for text, first, after in zip(texts, starts, ends, strict=True):
+        if text is None or first is None:
             out.append((None, None))
             continue
-        lines, gone = text.split("\n"), set(places)
-        found = chunks(lines)
-        kept = [_joined(lines, c) for p, c in enumerate(found) if p not in gone]
-        cut = [{"first": a, "last": b - 1} for p, (a, b, _) in enumerate(found) if p in gone]
-        out.append(("\n".join(kept), cut))
+        gone: list[list[int]] = []
+        for a, b in sorted(zip(map(int, first), map(int, after), strict=True)):
+            if gone and a < gone[-1][1]:
+                gone[-1][1] = max(gone[-1][1], b)
+            else:
+                gone.append([a, b])
+        lines, kept, at = text.split("\n"), [], 0
+        for a, b in gone:
+            kept += lines[at:a]
+            at = b
+        kept += lines[at:]
+        out.append(("\n".join(kept), [{"first": a, "last": b - 1} for a, b in gone]))
     return pd.DataFrame(out, columns=["text", "cut"])
 
 
-def remove_repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str, text_col: str, whole: bool = False
+) -> DataFrame:
     """``docs`` with every repeated chunk cut out but its first occurrence, and ``cut``, the
-    stretches of lines taken from each text (in place of a column of that name).
+    stretches of lines taken from each text (in place of a column of that name). With ``whole``
+    every repeated run of lines that has ``LONG_WORDS`` words is cut out as well, whole.
 
     The first occurrence is that in the row with the smallest id, null ids last, and there the
-    one that stands first; of repeated rows one counts as first. Chunks are repeated if their
-    bytes are the same, in another text or further on in the same one. What is left of a text
-    keeps its line breaks; a text all of whose chunks are repeats becomes the empty text. A null
+    one that stands first; of repeated rows one counts as first. Chunks and runs are repeated if
+    their bytes are the same, in another text or further on in the same one, where they must not
+    overlap their first occurrence. What is left of a text keeps its line breaks; a text of which
+    all is repeats becomes the empty text. Each line cut still stands in an earlier place. A null
     text stays null, and nothing is cut from it or from an empty one. An empty table stays empty.
     Other columns stay as they are.
 
-    What is gathered over the corpus is a hash per chunk. Texts are shuffled once, to meet the
-    list of their chunks whose hash occurs elsewhere; those chunks are then grouped by their
-    bytes. Where different chunks share a hash, each keeps a first occurrence of its own.
+    What is gathered over the corpus is a hash per chunk or run. Texts are shuffled once, to meet
+    the list of theirs whose hash occurs elsewhere; digests of those are then compared. Where
+    different ones share a hash, each keeps a first occurrence of its own.
     """
     in_small_batches(docs.sparkSession)
     key, hits_col, new = (free_name(docs, n) for n in ("row_key", "hits", "new"))
@@ -145,48 +221,69 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     schema = T.StructType(
         [narrow.schema["row_key"], narrow.schema["id"], T.StructField("at", T.IntegerType()),
-         T.StructField("hash", T.LongType())]
+         T.StructField("hash", T.LongType()), T.StructField("to", T.IntegerType())]
     )
-    found = written(narrow.mapInArrow(_occurrences, schema), "line-chunks")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key", "at")
+    found = narrow.mapInArrow(_all_occurrences if whole else _occurrences, schema)
+    found = written(found, "line-chunks")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key", "at", "to")
     repeated = found.groupBy("hash").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n")
     ).where("n > 1")
     # Written, so that both sides of the next join are shuffled and a frequent hash can be split.
     repeated = written(
-        repeated.select("hash", F.col("first.row_key").alias("key"), F.col("first.at").alias("pos")),
+        repeated.select("hash", F.col("first.row_key").alias("key"), F.col("first.to").alias("end")),
         "line-repeats",
     )
-    later = (F.col("row_key") != F.col("key")) | (F.col("at") != F.col("pos"))
+    later = (F.col("row_key") != F.col("key")) | (F.col("at") >= F.col("end"))
     hits = found.join(repeated, "hash").groupBy(F.col("row_key").alias(key)).agg(
-        F.array_sort(F.collect_list(F.struct("at", "hash", later.alias("later")))).alias(hits_col)
+        F.collect_list(F.struct("at", "to", "hash", later.alias("later"))).alias(hits_col)
     )
     joined = written(keyed.join(hits, key, "left"), "line-texts")
 
     hit = joined.where(F.col(hits_col).isNotNull()).select(
         F.col(key).alias("row_key"), F.col(f"`{id_col}`").alias("id"),
         F.col(hits_col).alias("hits"),
-        _texts(text_of(text_col), F.col(f"{hits_col}.at")).alias("bytes"),
+        _digests(
+            text_of(text_col), F.col(f"{hits_col}.at"), F.col(f"{hits_col}.to")
+        ).alias("digests"),
     )
     compared = hit.select(
-        "row_key", "id", F.explode(F.arrays_zip("hits", "bytes")).alias("both")
-    ).select("row_key", "id", "both.hits.at", "both.hits.hash", F.col("both.bytes").alias("chunk"))
-    different = compared.groupBy("hash", "chunk").agg(F.min(place).alias("first"))
-    shared = different.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        "row_key", "id",
+        F.explode(F.arrays_zip("hits", F.col("digests.high").alias("high"),
+                               F.col("digests.low").alias("low"))).alias("one"),
+    ).select("row_key", "id", "one.hits.at", "one.hits.to", "one.hits.hash", "one.high", "one.low")
+    shared = compared.groupBy("hash").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("high", "low")
+          for n, f in (("min", F.min), ("max", F.max))]
+    ).where("min_high <> max_high or min_low <> max_low")
     shared = written(shared.select("hash"), "line-collisions")
 
-    removed = F.transform(F.filter(hits_col, lambda h: h["later"]), lambda h: h["at"])
+    removed = F.filter(hits_col, lambda h: h["later"])
     if not shared.isEmpty():
-        firsts = different.join(shared, "hash", "left_semi").select(
-            F.col("first.row_key").alias(key), F.col("first.at").alias("at")
+        told = compared.join(shared, "hash", "left_semi")
+        firsts = told.groupBy("hash", "high", "low").agg(F.min(place).alias("first"))
+        firsts = written(firsts, "line-firsts")
+        again = (F.col("row_key") != F.col("first.row_key")) | (F.col("at") >= F.col("first.to"))
+        told = told.join(firsts, ["hash", "high", "low"]).withColumn("again", again)
+        fixed = free_name(joined, "fixed")
+        joined = joined.join(
+            told.groupBy(F.col("row_key").alias(key)).agg(
+                F.collect_set(F.struct("at", "to", "again")).alias(fixed)
+            ), key, "left",
+        )
+
+        def holds(h: Column, again: bool) -> Column:
+            span = F.struct(h["at"].alias("at"), h["to"].alias("to"), F.lit(again).alias("again"))
+            return F.coalesce(F.array_contains(F.col(fixed), span), F.lit(False))
+
+        removed = F.filter(
+            hits_col, lambda h: holds(h, True) | (h["later"] & ~holds(h, False))
         )
-        spared = free_name(joined, "spared")
-        firsts = firsts.groupBy(key).agg(F.collect_set("at").alias(spared))
-        joined = joined.join(firsts, key, "left")
-        removed = F.array_except(removed, F.coalesce(spared, F.array().cast("array<int>")))
     removed = F.when(F.size(removed) > 0, removed)
     text = F.col(f"`{text_col}`")
-    edited = joined.withColumn(new, _without(F.when(removed.isNotNull(), text), removed))
+    edited = joined.withColumn(new, _without(
+        F.when(removed.isNotNull(), text), removed["at"], removed["to"]
+    ))
     return edited.select(
         *[
             F.coalesce(F.col(f"{new}.text"), F.col(f"`{c}`")).alias(c) if c == text_col
@@ -198,7 +295,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    edited = remove_repeats(docs, "doc_id", "text")
+    edited = remove_repeats(docs, "doc_id", "text", whole=True)
     lines = F.aggregate("cut", F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
     spans = F.transform("cut", lambda c: F.concat_ws("-", c["first"], c["last"]))
     return edited.select(

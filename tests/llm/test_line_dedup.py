@@ -126,3 +126,78 @@ def test_query(spark, small):
 def test_repeats_within_one_text(spark):
     found = check(spark, [(1, "\n".join(["x 1", "x 2", "x 3", "x 4", "x 5", "x 6"] * 6))])
     assert found[0][1]
+
+
+def words_of(lines):
+    return sum(len(line.split()) for line in lines)
+
+
+def brute(rows, extra=lambda lines: []):
+    """``{row: (text, lines cut)}``: all runs of 50 or more words that stand earlier, found by
+    trying every run of lines, and the repeats among chunks and ``extra`` spans."""
+    seen, out = {}, {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i)):
+        lines, gone = (rows[i][1] or "").split("\n"), set()
+        spans = {c[:2] for c in chunks(lines) if c[2]}.union(extra(lines))
+        spans |= {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)
+                  if words_of(lines[a:b]) >= 50}
+        for a, b in sorted(spans):
+            row, end = seen.setdefault("\n".join(lines[a:b]), (i, b))
+            if row != i or a >= end:
+                gone.update(range(a, b))
+        kept = [line for k, line in enumerate(lines) if k not in gone]
+        out[i] = (rows[i][1] and "\n".join(kept), sorted(gone))
+    return out
+
+
+def check_whole(spark, rows, extra=lambda lines: []):
+    df = spark.createDataFrame(
+        [(i, d, t) for i, (d, t) in enumerate(rows)], "n long, doc_id long, text string"
+    ).coalesce(1)
+    got = remove_repeats(df, "doc_id", "text", whole=True).collect()
+    found = {
+        r["n"]: (r["text"], [k for a, b in r["cut"] for k in range(a, b + 1)]) for r in got
+    }
+    assert found == brute(rows, extra)
+    return found
+
+
+@pytest.mark.parametrize("count", [2, 3, 4, 7])
+def test_passages_of_a_few_lines_are_cut_whole(spark, count):
+    rng = random.Random(count)
+    rows = []
+    for p in range(20):
+        passage = [f"passage {p} {k} " + "word " * (50 // count) for k in range(count)]
+        for _ in range(2):
+            around = [[f"own {rng.random()}" for _ in range(rng.randint(0, 3))] for _ in "ab"]
+            rows.append((len(rows), "\n".join([*around[0], *passage, *around[1]])))
+    found = check_whole(spark, rows)
+    assert all(len(found[i][1]) >= count for i in range(1, len(rows), 2))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choices("abcdefgh", k=rng.choice([0, 3, 10, 20, 55]))) for _ in range(12)]
+    rows = [(rng.choice([i, i, None, 7]), "\n".join(rng.choices(pool, k=rng.randint(1, 14))))
+            for i in range(40)]
+    rows += [(100, None), (101, ""), (102, "same line of six words here\n" * 60)]
+    found = check_whole(spark, rows)
+    assert any(cut for _, cut in found.values())
+
+
+def test_runs_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    real = line_dedup._all_occurrences
+
+    def clash(batches):
+        import pyarrow as pa
+
+        for batch in real(batches):
+            yield batch.set_column(3, "hash", pa.array([1] * batch.num_rows, pa.int64()))
+
+    monkeypatch.setattr(line_dedup, "_all_occurrences", clash)
+    texts = [f"{'a ' * 30}{i}\n{'b ' * 30}{i}\n{'c ' * 30}{i}" for i in range(6)] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["text"] for r in remove_repeats(
+        df, "doc_id", "text", whole=True).collect()}
+    assert got == {i: t if i < 6 else "" for i, t in enumerate(texts)}
