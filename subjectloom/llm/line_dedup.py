@@ -109,7 +109,12 @@ def runs(lines: list[str]) -> set[tuple[int, int]]:
 
 def passages(lines: list[str]) -> list[tuple[int, int]]:
     """The chunks that count and the runs of enough words."""
-    return sorted(runs(lines).union(counted(lines)))
+    """The chunks that count, the runs of enough words, and the whole text if it has a word, so
+    that a copy of a text leaves nothing, however its last lines fall into chunks."""
+    found = runs(lines).union(counted(lines))
+    if any(map(str.strip, lines)):
+        found.add((0, len(lines)))
+    return sorted(found)
 
 
 def _joined(lines: list[str], start: int, end: int) -> str:
@@ -197,7 +202,8 @@ def remove_repeats(
 ) -> DataFrame:
     """``docs`` with every repeated chunk cut out but its first occurrence, and ``cut``, the
     stretches of lines taken from each text (in place of a column of that name). With ``whole``
-    every repeated run of lines that has ``LONG_WORDS`` words is cut out as well, whole.
+    every repeated run of lines that has ``LONG_WORDS`` words is cut out as well, whole, and every
+    text that is a copy of another becomes the empty text.
 
     The first occurrence is that in the row with the smallest id, null ids last, and there the
     one that stands first; of repeated rows one counts as first. Chunks and runs are repeated if

@@ -132,13 +132,15 @@ def words_of(lines):
     return sum(len(line.split()) for line in lines)
 
 
-def brute(rows, extra=lambda lines: []):
+def brute(rows):
     """``{row: (text, lines cut)}``: all runs of 50 or more words that stand earlier, found by
-    trying every run of lines, and the repeats among chunks and ``extra`` spans."""
+    trying every run of lines, and the repeats among chunks and whole texts."""
     seen, out = {}, {}
     for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i)):
         lines, gone = (rows[i][1] or "").split("\n"), set()
-        spans = {c[:2] for c in chunks(lines) if c[2]}.union(extra(lines))
+        spans = {c[:2] for c in chunks(lines) if c[2]}
+        if any(line.strip() for line in lines):
+            spans.add((0, len(lines)))
         spans |= {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)
                   if words_of(lines[a:b]) >= 50}
         for a, b in sorted(spans):
@@ -150,7 +152,7 @@ def brute(rows, extra=lambda lines: []):
     return out
 
 
-def check_whole(spark, rows, extra=lambda lines: []):
+def check_whole(spark, rows):
     df = spark.createDataFrame(
         [(i, d, t) for i, (d, t) in enumerate(rows)], "n long, doc_id long, text string"
     ).coalesce(1)
@@ -158,7 +160,7 @@ def check_whole(spark, rows, extra=lambda lines: []):
     found = {
         r["n"]: (r["text"], [k for a, b in r["cut"] for k in range(a, b + 1)]) for r in got
     }
-    assert found == brute(rows, extra)
+    assert found == brute(rows)
     return found
 
 
@@ -201,3 +203,27 @@ def test_runs_that_share_a_hash_are_told_apart(spark, monkeypatch):
     got = {r["doc_id"]: r["text"] for r in remove_repeats(
         df, "doc_id", "text", whole=True).collect()}
     assert got == {i: t if i < 6 else "" for i, t in enumerate(texts)}
+
+
+def test_copies_leave_nothing(spark):
+    rows = [(1, "single line"), (2, "single line"), (3, "a\nb\n" + "long " * 60 + "\nalone")]
+    for i in range(40):
+        text = "\n".join(f"text {i} line {k}" for k in range(i % 9 + 1)) + f"\n\nalone {i}"
+        rows += [(10 + 2 * i, text), (11 + 2 * i, text)]
+    rows += [(200, rows[2][1]), (201, " \n"), (202, " \n")]
+    found = check_whole(spark, rows)
+    first = set()
+    for i, (_, text) in enumerate(rows):
+        if text.strip():
+            assert (found[i][0] == "") == (text in first)
+            first.add(text)
+
+
+def test_query_against_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()
+    want = brute([(r["doc_id"], r["text"]) for r in docs])
+    got = {r["doc_id"]: r for r in line_dedup.op3_line_dedup(spark, small).collect()}
+    for i, row in enumerate(docs):
+        text, cut = want[i]
+        assert got[row["doc_id"]]["lines_removed"] == len(cut)
+        assert got[row["doc_id"]]["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
