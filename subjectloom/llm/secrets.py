@@ -33,10 +33,12 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile(f"(?<![0-9a-f])[0-9a-f]{{{MIN_HEX},}}")
 
 #: Runs of these characters are tried if they are at least so long ...
-MIN_RUN = 20
+MIN_RUN = 16
 RUN = re.compile(f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
 #: ... and are random if a token covers no more than so many characters on average.
 MAX_CHARS_PER_TOKEN = 2.0
+#: The vocabulary that tells words of identifiers if the caller gives none.
+VOCABULARY = "byte_bpe_50k.tiktoken"
 
 # Lengths of usual digests in hexadecimal (128 to 512 bits).
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
@@ -46,6 +48,10 @@ _UUID = re.compile("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _IDENTIFIER = re.compile(
     "[/_=+-]*([A-Za-z]+[0-9]{0,4}|[0-9]+)([/_=+-]+([A-Za-z]+[0-9]{0,4}|[0-9]+))*[/_=+-]*"
 )
+#: The letters of a run by case changes; digits and separators end a part too.
+_PART = re.compile("[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]+")
+#: Shorter parts may be words or not.
+WORD_LETTERS = 3
 
 Span = tuple[str, int, int]
 
@@ -76,9 +82,31 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def is_known(run: str, known: Collection[str] = ()) -> bool:
+def is_identifier(run: str, encoding: tiktoken.Encoding) -> bool:
+    """Numbers alone, or words: parts of three or more letters hold half of the letters at
+    least, and a token covers as many of theirs as it hardly does in random ones, in the case
+    that suits the vocabulary best."""
+    if not _IDENTIFIER.fullmatch(run):
+        return False
+    parts = _PART.findall(run)
+    words = [p for p in parts if len(p) >= WORD_LETTERS]
+    letters = sum(map(len, words))
+    if 2 * letters < sum(map(len, parts)):
+        return False
+    tokens = sum(
+        min(len(encoding.encode_ordinary(w)) for w in {p, p.lower(), p.capitalize()})
+        for p in words
+    )
+    return letters >= MAX_CHARS_PER_TOKEN * tokens
+
+
+def is_known(
+    run: str, known: Collection[str] = (), encoding: tiktoken.Encoding | None = None
+) -> bool:
     """Digests of usual lengths, UUIDs, identifiers, and whatever the caller lists."""
-    return run in known or any(p.fullmatch(run) for p in (_DIGEST, _UUID, _IDENTIFIER))
+    if run in known or _DIGEST.fullmatch(run) or _UUID.fullmatch(run):
+        return True
+    return is_identifier(run, encoding or vocabulary(public_tokenizers.path(VOCABULARY)))
 
 
 def random_spans(
@@ -88,9 +116,11 @@ def random_spans(
     found = []
     for m in RUN.finditer(text):
         a, b = m.span()
-        if is_known(m.group(), known) or any(a < y and x < b for _, x, y in taken):
+        if any(a < y and x < b for _, x, y in taken):
+            continue
+        if b - a > MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(m.group())):
             continue
-        if b - a <= MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(m.group())):
+        if not is_known(m.group(), known, encoding):
             found.append(("random", a, b))
     return found
 
@@ -127,7 +157,7 @@ def find_secrets(
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_secrets(docs, "text", public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    found = find_secrets(docs, "text", public_tokenizers.path(VOCABULARY))
 
     def listed(kinds):
         chosen = F.filter("secrets", lambda s: s["kind"].isin(*kinds))

@@ -1,7 +1,9 @@
 """Secret spans by a plain reading of the base rules, and the token test."""
 
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -62,6 +64,39 @@ def test_random_strings_are_added():
     assert spans(KEY, vocabulary(PATH), {KEY}) == []
 
 
+def drawn(rng, letters, n):
+    return "".join(rng.choices(letters, k=n))
+
+
+@pytest.mark.parametrize("length", [16, 20, 24, 32, 64])
+@pytest.mark.parametrize(("letters", "share"), [
+    (string.ascii_lowercase, 0.8), (string.ascii_uppercase, 0.8), (string.ascii_letters, 0.9),
+    (string.ascii_letters + string.digits, 0.95),
+    (string.ascii_letters + string.digits + "+/", 0.95),
+])
+def test_random_strings_of_any_letters(length, letters, share):
+    rng = random.Random(length)
+    keys = [drawn(rng, letters, length) for _ in range(200)]
+    found = [spans(f"key {k} here", vocabulary(PATH)) for k in keys]
+    assert sum(f == [("random", 4, 4 + length)] for f in found) >= share * len(keys)
+
+
+def test_segmented_keys():
+    rng = random.Random(1)
+    keys = ["-".join(drawn(rng, string.ascii_uppercase, 4) + drawn(rng, string.digits, 4)
+                     for _ in range(4)) for _ in range(200)]
+    found = [spans(k, vocabulary(PATH)) for k in keys]
+    assert sum(f == [("random", 0, 35)] for f in found) >= 0.8 * len(keys)
+
+
+@pytest.mark.parametrize("run", [
+    "CURLOPT_SSL_VERIFYPEER", "test_random_strings_are_added", "MAX_CHARS_PER_TOKEN",
+    "monotonically_increasing_id", "getAllValidConstraints", "2026-12-01-00-00-00",
+])
+def test_identifiers_are_no_secrets(run):
+    assert spans(run, vocabulary(PATH)) == []
+
+
 def test_odd_rows(spark, frame):
     texts = [None, "", *CASES, CASES[1], "lorem " * 50_000 + "password=abcdefghijkl"]
     df = frame([(t, "own", 1) for t in texts], "text string, secrets string, spans int")
