@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subjectloom.llm.common import free_name, in_small_batches, table, text_of, with_row_key
+from subjectloom.llm.common import free_name, in_small_batches, table, text_of, with_lasting_key
 
 #: Texts of more characters are cut into halves until no piece is longer.
 PIECE = 16_384
@@ -167,7 +167,7 @@ def encode_ids(docs: DataFrame, text_col: str, path: str, piece: int = PIECE) ->
     in_small_batches(docs.sparkSession)
     key, text = free_name(docs, "row_key"), free_name(docs, "whole_text")
     columns = [c for c in docs.columns if c != "ids"]
-    keyed = with_row_key(docs, key).withColumn(text, text_of(text_col))
+    keyed = with_lasting_key(docs, key).withColumn(text, text_of(text_col))
     rest = [F.col(f"`{c}`") for c in columns]
     long = F.length(text) > piece
     # The tokens are worked out once; a plain expression would be put in wherever it is used.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subjectloom.llm.common import (
-    SHINGLE_WORDS, free_name, in_small_batches, table, text_of, with_row_key,
+    SHINGLE_WORDS, free_name, in_small_batches, scanned, table, text_of, with_lasting_key,
 )
 from subjectloom.llm.components import components
 from subjectloom.llm.hashing import AS_WORDS, shingles, word_hashes
@@ -272,7 +272,7 @@ def link_groups(
     """
     in_small_batches(docs.sparkSession)
     key = free_name(docs, "row_key")
-    rows = with_row_key(docs, key).select(
+    rows = with_lasting_key(docs, key).select(
         F.col(key).alias("row_key"), F.col(f"`{id_col}`").alias("id"),
         text_of(text_col).alias("text"),
     )
@@ -339,11 +339,12 @@ def one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` without their near duplicates: of each component the row with the
     smallest id stays, null ids last, of repeated rows the first. Rows without words stay, and
     so do rows that have nothing in common but their id."""
+    docs = scanned(docs)
     key = free_name(docs, "row_key")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")
     first = link_groups(docs, id_col, text_col).groupBy("component").agg(F.min(place).alias("one"))
     kept = written(first.select(F.col("one.row_key").alias(key)), "kept-rows")
-    return with_row_key(docs, key).join(kept, key, "left_semi").drop(key)
+    return with_lasting_key(docs, key).join(kept, key, "left_semi").drop(key)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

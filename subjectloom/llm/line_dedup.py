@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subjectloom.llm.common import free_name, in_small_batches, table, text_of, with_row_key
+from subjectloom.llm.common import free_name, in_small_batches, table, text_of, with_lasting_key
 from subjectloom.session import written
 
 #: A chunk may end after a line where the hash rolled over this many lines leaves no remainder ...
@@ -220,7 +220,7 @@ def remove_repeats(
     in_small_batches(docs.sparkSession)
     key, hits_col, new = (free_name(docs, n) for n in ("row_key", "hits", "new"))
     columns = [c for c in docs.columns if c != "cut"]
-    keyed = with_row_key(docs.select(*[F.col(f"`{c}`") for c in columns]), key)
+    keyed = with_lasting_key(docs.select(*[F.col(f"`{c}`") for c in columns]), key)
     narrow = keyed.select(
         F.col(key).alias("row_key"), F.col(f"`{id_col}`").alias("id"),
         text_of(text_col).alias("text"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subjectloom.llm.common import WORD, free_name, table, text_of, with_row_key
+from subjectloom.llm.common import WORD, free_name, scanned, table, text_of, with_lasting_key
 from subjectloom.session import written
 
 # Weights of the sources in order, repeating; the share of all words to take;
@@ -71,7 +71,7 @@ def plan(
     repeated rows take places of their own. An empty table gives an empty plan.
     """
     key = free_name(docs, "row_key")
-    measured = with_row_key(docs, key).select(
+    measured = with_lasting_key(docs, key).select(
         F.col(key).alias("row_key"), F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
@@ -126,13 +126,14 @@ def mix(
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 42,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the plan takes it, with its own columns only."""
+    docs = scanned(docs)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     key, copies = free_name(docs, "row_key"), free_name(docs, "copies")
     taken = plan(docs, id_col, text_col, source_col, weights, share, most, seed)
     taken = taken.where("copies > 0").select(
         F.col("row_key").alias(key), F.sequence(F.lit(1), F.col("copies").cast("int")).alias(copies)
     )
-    joined = with_row_key(docs, key).join(taken, key)
+    joined = with_lasting_key(docs, key).join(taken, key)
     return joined.withColumn(copies, F.explode(copies)).select(*columns)
 
 
