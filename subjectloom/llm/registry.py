@@ -6,7 +6,10 @@ from importlib import import_module
 
 from subjectloom.plans.catalog import Query
 
-_MODULES = ("bpe", "exact_dedup", "url_filter", "mixing", "language_id", "toxicity", "secrets", "pivot_search", "line_dedup", "jaccard_join")
+_MODULES = (
+    "bpe", "exact_dedup", "line_dedup", "pivot_search", "secrets", "url_filter", "mixing",
+    "language_id", "jaccard_join", "toxicity", "vector_codes",
+)
 
 
 def queries() -> dict[str, Query]:
