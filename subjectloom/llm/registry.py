@@ -8,7 +8,7 @@ from subjectloom.plans.catalog import Query
 
 _MODULES = (
     "bpe", "exact_dedup", "line_dedup", "pivot_search", "secrets", "url_filter", "mixing",
-    "language_id", "jaccard_join", "toxicity", "nra_search", "vector_codes",
+    "language_id", "jaccard_join", "toxicity", "nra_search", "ngram_model", "vector_codes",
 )
 
 
