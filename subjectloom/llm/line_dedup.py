@@ -1,5 +1,5 @@
 """Repeated passages: multi-line chunks with content-defined boundaries, and all runs of lines
-with enough words, removed after a comparison of digests."""
+with enough words, removed after a comparison of their bytes."""
 
 from __future__ import annotations
 
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subjectloom.llm.common import free_name, in_small_batches, table, text_of, with_lasting_key
-from subjectloom.session import written
+from subjectloom.operators.lookup import fits_broadcast
+from subjectloom.session import release, written
 
 #: A chunk may end after a line where the hash rolled over this many lines leaves no remainder ...
 WINDOW = 2
@@ -108,7 +109,6 @@ def runs(lines: list[str]) -> set[tuple[int, int]]:
 
 
 def passages(lines: list[str]) -> list[tuple[int, int]]:
-    """The chunks that count and the runs of enough words."""
     """The chunks that count, the runs of enough words, and the whole text if it has a word, so
     that a copy of a text leaves nothing, however its last lines fall into chunks."""
     found = runs(lines).union(counted(lines))
@@ -149,6 +149,68 @@ def _all_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 _LONGS = T.ArrayType(T.LongType())
 
 
+_PIECES = T.ArrayType(
+    T.StructType(
+        [T.StructField("key", T.LongType()), T.StructField("start", T.IntegerType()),
+         T.StructField("end", T.IntegerType()), T.StructField("piece", T.StringType()),
+         T.StructField("hashes", _LONGS)]
+    )
+)
+
+
+@F.pandas_udf(_PIECES)
+def _later_pieces(texts: pd.Series, hits: pd.Series) -> pd.Series:
+    """The stretches of each text that are to be the same as lines ``start`` to ``end`` of the row
+    ``key``: hits that follow each other here and there are one."""
+    out = []
+    for text, own in zip(texts, hits, strict=True):
+        lines, made = text.split("\n"), []
+        later = [h for h in own if h["later"]]
+        for h in sorted(later, key=lambda h: (h["key"], h["start"] - h["at"], h["at"])):
+            shift = h["start"] - h["at"]
+            last = made[-1] if made else None
+            if last and last[:2] == [h["key"], shift] and h["at"] <= last[3]:
+                last[3] = max(last[3], h["to"])
+                last[4].append(h["hash"])
+            else:
+                made.append([h["key"], shift, h["at"], h["to"], [h["hash"]]])
+        out.append([
+            {"key": key, "start": at + shift, "end": to + shift, "piece": _joined(lines, at, to),
+             "hashes": hashes}
+            for key, shift, at, to, hashes in made
+        ])
+    return pd.Series(out, dtype=object)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _cut_out(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    return pd.Series([
+        [_joined(text.split("\n"), a, b) for a, b in zip(first, after, strict=True)]
+        for text, first, after in zip(texts, starts, ends, strict=True)
+    ], dtype=object)
+
+
+def _differing(touched: DataFrame, text: Column, key: str, hits: str) -> DataFrame:
+    """The hashes of what is not the same, byte by byte, as its first occurrence. The texts that
+    hold later occurrences give their pieces, those that hold first ones what is asked of them;
+    pieces of the same lines meet."""
+    one = F.explode(_later_pieces(text, F.col(hits))).alias("one")
+    later = touched.where(F.exists(hits, lambda h: h["later"])).select(one).select("one.*")
+    asked = later.select("key", "start", "end").distinct()
+    asked = asked.groupBy(F.col("key").alias(key)).agg(
+        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
+    )
+    firsts = touched.select(key, text.alias("text")).join(asked, key)
+    firsts = firsts.select(
+        F.col(key).alias("key"), F.explode(F.arrays_zip(
+            F.col("starts").alias("start"), F.col("ends").alias("end"),
+            _cut_out("text", "starts", "ends").alias("first"),
+        )).alias("one"),
+    ).select("key", "one.*")
+    both = later.join(firsts, ["key", "start", "end"]).where("piece <> first")
+    return both.select(F.explode("hashes").alias("hash")).distinct()
+
+
 @F.pandas_udf(T.StructType([T.StructField("high", _LONGS), T.StructField("low", _LONGS)]))
 def _digests(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
     """128 bits of BLAKE2b of each of the spans asked for."""
@@ -213,9 +275,10 @@ def remove_repeats(
     text stays null, and nothing is cut from it or from an empty one. An empty table stays empty.
     Other columns stay as they are.
 
-    What is gathered over the corpus is a hash per chunk or run. Texts are shuffled once, to meet
-    the list of theirs whose hash occurs elsewhere; digests of those are then compared. Where
-    different ones share a hash, each keeps a first occurrence of its own.
+    What is gathered over the corpus is a hash per chunk or run. Only texts with a hash that
+    occurs elsewhere are moved (if their keys are too many to be broadcast, all are); their
+    repeated pieces meet their first occurrences, and bytes are compared. Where different ones
+    share a hash, each keeps a first occurrence of its own.
     """
     in_small_batches(docs.sparkSession)
     key, hits_col, new = (free_name(docs, n) for n in ("row_key", "hits", "new"))
@@ -237,42 +300,54 @@ def remove_repeats(
     ).where("n > 1")
     # Written, so that both sides of the next join are shuffled and a frequent hash can be split.
     repeated = written(
-        repeated.select("hash", F.col("first.row_key").alias("key"), F.col("first.to").alias("end")),
+        repeated.select("hash", F.col("first.row_key").alias("key"),
+                        F.col("first.at").alias("start"), F.col("first.to").alias("end")),
         "line-repeats",
     )
     later = (F.col("row_key") != F.col("key")) | (F.col("at") >= F.col("end"))
     hits = found.join(repeated, "hash").groupBy(F.col("row_key").alias(key)).agg(
-        F.collect_list(F.struct("at", "to", "hash", later.alias("later"))).alias(hits_col)
+        F.collect_list(
+            F.struct("at", "to", "hash", later.alias("later"), "key", "start")
+        ).alias(hits_col)
     )
-    joined = written(keyed.join(hits, key, "left"), "line-texts")
-
-    hit = joined.where(F.col(hits_col).isNotNull()).select(
-        F.col(key).alias("row_key"), F.col(f"`{id_col}`").alias("id"),
-        F.col(hits_col).alias("hits"),
-        _digests(
-            text_of(text_col), F.col(f"{hits_col}.at"), F.col(f"{hits_col}.to")
-        ).alias("digests"),
-    )
-    compared = hit.select(
-        "row_key", "id",
-        F.explode(F.arrays_zip("hits", F.col("digests.high").alias("high"),
-                               F.col("digests.low").alias("low"))).alias("one"),
-    ).select("row_key", "id", "one.hits.at", "one.hits.to", "one.hits.hash", "one.high", "one.low")
-    shared = compared.groupBy("hash").agg(
-        *[f(c).alias(f"{n}_{c}") for c in ("high", "low")
-          for n, f in (("min", F.min), ("max", F.max))]
-    ).where("min_high <> max_high or min_low <> max_low")
-    shared = written(shared.select("hash"), "line-collisions")
-
+    hits = written(hits, "line-hits")
+    release(found, repeated)
+    keys = hits.select(key)
+    few = fits_broadcast(keys)
+    if few:
+        touched = keyed.join(F.broadcast(keys), key, "left_semi").join(hits, key)
+        rest = keyed.join(F.broadcast(keys), key, "left_anti")
+        touched = written(touched, "line-texts")
+    else:
+        joined = written(keyed.join(hits, key, "left"), "line-texts")
+        release(hits)
+        touched = joined.where(F.col(hits_col).isNotNull())
+        rest = joined.where(F.col(hits_col).isNull())
+
+    shared = written(_differing(touched, text_of(text_col), key, hits_col), "line-collisions")
     removed = F.filter(hits_col, lambda h: h["later"])
     if not shared.isEmpty():
+        hit = touched.select(
+            F.col(key).alias("row_key"), F.col(f"`{id_col}`").alias("id"),
+            F.col(hits_col).alias("hits"),
+            _digests(
+                text_of(text_col), F.col(f"{hits_col}.at"), F.col(f"{hits_col}.to")
+            ).alias("digests"),
+        )
+        compared = hit.select(
+            "row_key", "id",
+            F.explode(F.arrays_zip("hits", F.col("digests.high").alias("high"),
+                                   F.col("digests.low").alias("low"))).alias("one"),
+        ).select(
+            "row_key", "id", "one.hits.at", "one.hits.to", "one.hits.hash", "one.high", "one.low"
+        )
         told = compared.join(shared, "hash", "left_semi")
         firsts = told.groupBy("hash", "high", "low").agg(F.min(place).alias("first"))
         firsts = written(firsts, "line-firsts")
         again = (F.col("row_key") != F.col("first.row_key")) | (F.col("at") >= F.col("first.to"))
         told = told.join(firsts, ["hash", "high", "low"]).withColumn("again", again)
-        fixed = free_name(joined, "fixed")
-        joined = joined.join(
+        fixed = free_name(touched, "fixed")
+        touched = touched.join(
             told.groupBy(F.col("row_key").alias(key)).agg(
                 F.collect_set(F.struct("at", "to", "again")).alias(fixed)
             ), key, "left",
@@ -287,16 +362,19 @@ def remove_repeats(
         )
     removed = F.when(F.size(removed) > 0, removed)
     text = F.col(f"`{text_col}`")
-    edited = joined.withColumn(new, _without(
+    edited = touched.withColumn(new, _without(
         F.when(removed.isNotNull(), text), removed["at"], removed["to"]
     ))
-    return edited.select(
+    edited = edited.select(
         *[
             F.coalesce(F.col(f"{new}.text"), F.col(f"`{c}`")).alias(c) if c == text_col
             else F.col(f"`{c}`") for c in columns
         ],
         F.coalesce(F.col(f"{new}.cut"), F.array().cast(_CUT)).alias("cut"),
     )
+    return edited.union(
+        rest.select(*[F.col(f"`{c}`") for c in columns], F.array().cast(_CUT).alias("cut"))
+    )
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

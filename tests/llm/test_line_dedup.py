@@ -110,19 +110,6 @@ def test_chunks_that_share_a_hash_are_told_apart(spark, monkeypatch):
     assert got == {i: t if i < 6 else "" for i, t in rows}
 
 
-def test_query(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()
-    want = plain([(r["doc_id"], r["text"]) for r in docs])
-    got = {r["doc_id"]: r for r in line_dedup.op3_line_dedup(spark, small).collect()}
-    assert len(got) == len(docs)
-    for i, row in enumerate(docs):
-        text, cut = want[i]
-        mine = got[row["doc_id"]]
-        assert mine["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
-        assert mine["lines_removed"] == sum(b - a + 1 for a, b in cut)
-        assert mine["chars_left"] == len(text)
-
-
 def test_repeats_within_one_text(spark):
     found = check(spark, [(1, "\n".join(["x 1", "x 2", "x 3", "x 4", "x 5", "x 6"] * 6))])
     assert found[0][1]
@@ -221,9 +208,25 @@ def test_copies_leave_nothing(spark):
 
 def test_query_against_brute_force(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()
-    want = brute([(r["doc_id"], r["text"]) for r in docs])
+    rows = [(r["doc_id"], r["text"]) for r in docs]
+    want, chunks_alone = brute(rows), plain(rows)
     got = {r["doc_id"]: r for r in line_dedup.op3_line_dedup(spark, small).collect()}
+    assert len(got) == len(docs)
     for i, row in enumerate(docs):
         text, cut = want[i]
-        assert got[row["doc_id"]]["lines_removed"] == len(cut)
-        assert got[row["doc_id"]]["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        mine = got[row["doc_id"]]
+        assert mine["lines_removed"] == len(cut)
+        assert mine["chars_left"] == len(text)
+        assert mine["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        # Whatever the rule of chunks alone cuts is cut here too.
+        cut_here = {k for span in mine["lines_cut"].split(",") if span
+                    for k in range(int(span.split("-")[0]), int(span.split("-")[1]) + 1)}
+        assert {k for a, b in chunks_alone[i][1] for k in range(a, b + 1)} <= cut_here
+
+
+def test_all_texts_are_moved_where_keys_are_too_many_to_broadcast(spark, monkeypatch):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choices("abcdefgh", k=rng.choice([0, 3, 20, 55]))) for _ in range(12)]
+    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 10)))) for i in range(40)]
+    monkeypatch.setattr(line_dedup, "fits_broadcast", lambda table: False)
+    check_whole(spark, [*rows, (50, None)])
