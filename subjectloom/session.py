@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,7 +79,8 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     """``df`` as a Parquet table in the shared folder. For large frames that several passes
     read, where working them out again costs more than reading them."""
     path = fresh_path(df.sparkSession, name)
-    _PATHS.append(path)
+    for paths in _NOTES.get():
+        paths.append(path)
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(path)
     table = df.sparkSession.read.parquet(path)
@@ -86,17 +88,18 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return table
 
 
-_PATHS: list[str] = []
+_NOTES: ContextVar[tuple[list[str], ...]] = ContextVar("notes", default=())
 
 
 @contextmanager
 def noting() -> Iterator[list[str]]:
-    """Gives a list that holds, at the end, the paths of all tables ``written`` meanwhile."""
-    start, paths = len(_PATHS), []
+    """Gives a list that gets the paths of all tables ``written`` meanwhile by this thread."""
+    paths: list[str] = []
+    token = _NOTES.set((*_NOTES.get(), paths))
     try:
         yield paths
     finally:
-        paths.extend(_PATHS[start:])
+        _NOTES.reset(token)
 
 
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
