@@ -1,13 +1,12 @@
 """From raw documents to token ids: filter, clean, deduplicate, mix and encode.
 
 Each stage takes what the one before kept, read back from Parquet, and all but the last return
-the columns of ``documents``. What a stage has written for itself is removed when the next one
-begins, as by then its result has been written.
+the columns of ``documents``. ``run`` removes what a stage has written for itself once its result
+has been written. Stages called on their own leave it in the shared folder.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -22,25 +21,6 @@ VOCABULARY = "byte_bpe_50k.json"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-_left: list[str] = []
-
-
-def _stage(fn: Stage) -> Stage:
-    """The stage, after what an earlier one has left in the shared folder is removed."""
-
-    @functools.wraps(fn)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        remove(spark, _left)
-        _left.clear()
-        with noting() as made:
-            result = fn(spark, docs, sf_dir)
-        _left.extend(made)
-        return result
-
-    return run_stage
-
-
-@_stage
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not find toxic; it learns from the training fold of
     ``docs`` and of the table ``labels``. Null and empty texts stay, as nothing speaks against
@@ -51,7 +31,6 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.where(F.col(score) < 0.5).drop(score)
 
 
-@_stage
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has. A document of which nothing is
     left goes: all its passages stand elsewhere. ``n_chars`` follows the text."""
@@ -67,19 +46,16 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     )
 
 
-@_stage
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id."""
     return jaccard_join.one_of_each(docs, "doc_id", "text")
 
 
-@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, so some twice and some not at all."""
     return mixing.mix(docs, "doc_id", "text", "source")
 
 
-@_stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, lang, source, n_tokens, ids)`` per document of the mix."""
     ids = bpe.encode_ids(docs, "text", public_tokenizers.path(VOCABULARY))
@@ -104,10 +80,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's result written and read back."""
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with noting() as made:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        remove(spark, [path for path in made if path != docs.shared_path])
         if before is not None:
             release(before)
         before = docs
-    remove(spark, _left)
-    _left.clear()
     return docs
