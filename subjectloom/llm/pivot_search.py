@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subjectloom.llm.common import table, with_row_key
+from subjectloom.llm.common import table
 from subjectloom.session import written
 
 # Fixed values of the registered query: steps per unit, results per query, every 20th is a query.
@@ -150,18 +150,21 @@ def top_k(
     Vectors that are null or hold null or non-finite components, and rows without an id, take
     no part. Vectors of different lengths are not compared. Rows with the same id are rows of
     their own, as are equal vectors; a query row that occurs twice gets two answers. Products
-    beyond 64 bits wrap around. An empty table gives an empty result.
+    beyond 64 bits wrap around. An empty table gives an empty result. Other columns may have any
+    names, and ``is_query`` may speak of all of them.
 
     Queries and candidates are dealt into blocks of bounded size, by hash, so that equal
     vectors spread too; each block of the one meets each of the other in a task of its own,
     which hands on ``top`` rows per query.
     """
     vector = F.col(f"`{vector_col}`")
-    rows = with_row_key(vectors, "_key").where(F.col(f"`{id_col}`").isNotNull() & usable(vector))
-    rows = rows.select(
-        F.col("_key").alias("row_key"), F.col(f"`{id_col}`").cast("long").alias("vec_id"),
-        in_steps(vector, steps).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("query"),
-    )
+    # One projection of the caller's columns, so that no name of theirs can clash.
+    rows = vectors.select(
+        F.monotonically_increasing_id().alias("row_key"),
+        F.col(f"`{id_col}`").cast("long").alias("vec_id"), vector.alias("vector"),
+        F.coalesce(is_query, F.lit(False)).alias("query"),
+    ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    rows = rows.withColumn("vector", in_steps(F.col("vector"), steps))
     measured = written(pivot_table(rows, pivots), "pivot-table")
     size = measured.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("query").alias("queries")

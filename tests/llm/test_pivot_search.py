@@ -85,3 +85,14 @@ def test_products_beyond_doubles():
     got = pivot_search.best_of_block(rows.iloc[:1], rows, 3)
     want = sorted(((-int(a) * (big + 1) - int(b) * big, i) for i, (a, b) in enumerate(vectors) if i))
     assert list(zip((-got["score"]).tolist(), got["vec_id"].tolist(), strict=True)) == want
+
+
+def test_columns_of_any_name(spark):
+    """Names that the search itself uses belong to the caller, also in what makes a query."""
+    rows = [(100 + i, [float(i), 1.0], i, i, i) for i in range(4)]
+    df = spark.createDataFrame(
+        rows, "_key long, v array<float>, row_key int, vec_id int, query int")
+    got = top_k(df, "_key", "v", F.col("row_key") == 3, 2).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(103, 1, 102), (103, 2, 101)]
+    got = top_k(df, "_key", "v", F.col("_key") == 102, 1).collect()
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(102, 103)]
