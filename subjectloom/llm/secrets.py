@@ -114,9 +114,14 @@ def random_spans(
 ) -> list[Span]:
     """Runs with few characters per token that no base span touches."""
     found = []
+    order = sorted((x, y) for _, x, y in taken)
+    at = reach = 0  # spans that begin before the end of the run, and where the last of them ends
     for m in RUN.finditer(text):
         a, b = m.span()
-        if any(a < y and x < b for _, x, y in taken):
+        while at < len(order) and order[at][0] < b:
+            reach = max(reach, order[at][1])
+            at += 1
+        if reach > a:
             continue
         if b - a > MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(m.group())):
             continue
