@@ -68,7 +68,7 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     Longest: by host and path together; of equally long ones the first listed.
     """
     best = F.lit(None).cast("struct<text:string,verdict:string>")
-    for rule in sorted(rules, key=lambda r: len(r.text)):
+    for _, rule in sorted(enumerate(rules), key=lambda r: (len(r[1].text), -r[0])):
         at_host = (host == rule.host) | host.endswith(f".{rule.host}")
         fits = at_host & path.startswith(f"/{rule.path}")
         best = F.when(

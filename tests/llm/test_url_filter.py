@@ -96,3 +96,11 @@ def test_query(spark, small):
         rule = rule_of(host, path)
         assert (row["host"], row["path"], row["rule"]) == (host, path, rule and rule.text)
         assert row["verdict"] in ("allow", "block")
+
+
+def test_of_equally_long_rules_the_first_listed_counts(spark, frame):
+    df = frame([("http://b.org/abc",)], "url string")
+    rules = [Rule("b.org", "", "block"), Rule("org", "ab", "allow")]
+    for listed in (rules, rules[::-1]):
+        got = judge(df, "url", listed).first()
+        assert (got["rule"], got["verdict"]) == (listed[0].text, listed[0].verdict)
