@@ -129,8 +129,11 @@ def _counts(rows: DataFrame, bits: int) -> DataFrame:
     )
 
 
-def _sample(rows: DataFrame, columns: np.ndarray, most: int, total: int, bits: int) -> np.ndarray:
-    """0/1 rows of at most ``most`` different texts, those with the smallest hash."""
+def _sample(
+    rows: DataFrame, columns: np.ndarray, most: int, different: int, bits: int
+) -> np.ndarray:
+    """0/1 rows of at most ``most`` different texts, those with the smallest hash. About
+    ``different`` of them exist; the range of hashes that are looked at follows from that."""
 
     @F.pandas_udf("array<int>")
     def seen(texts: pd.Series) -> pd.Series:
@@ -139,7 +142,7 @@ def _sample(rows: DataFrame, columns: np.ndarray, most: int, total: int, bits: i
             dtype=object,
         )
 
-    share = min(1.0, 2.0 * most / max(total, 1))
+    share = min(1.0, 2.0 * most / max(different, 1))
     near = rows.withColumn("hash", F.xxhash64("text")).where(
         F.pmod("hash", F.lit(1 << 30)) < int(share * (1 << 30))
     )
@@ -163,18 +166,21 @@ def fit(
 
     Rows labelled 0 only serve to estimate ``prior``, the share of toxic texts, where none is
     given; where no row is unlabelled they stand in for unlabelled text. A null text is the
-    empty text. Texts that occur repeatedly count once in the sample. Without positives or
-    without other rows the model has no words and every text scores the prior.
+    empty text. Texts that occur repeatedly count once in the sample, however often they occur.
+    Without positives or without other rows the model has no words and every text scores the
+    prior.
     """
     in_small_batches(rows.sparkSession)
     labelled = rows.select(
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
         F.col(f"`{label_col}`").alias("label"),
     )
+    hashed, label = F.xxhash64("text"), F.col("label")
     tally = labelled.agg(
-        F.count_if(F.col("label") == 1).alias("ones"),
-        F.count_if(F.col("label") == 0).alias("zeros"),
-        F.count_if(F.col("label").isNull()).alias("open"),
+        F.count_if(label == 1).alias("ones"), F.count_if(label == 0).alias("zeros"),
+        F.count_if(label.isNull()).alias("open"),
+        *[F.approx_count_distinct(F.when(kind, hashed)).alias(f"different_{name}")
+          for name, kind in (("ones", label == 1), ("zeros", label == 0), ("open", label.isNull()))],
     ).first()
     ones, zeros, unlabelled = tally["ones"], tally["zeros"], tally["open"]
     if prior is None:
@@ -201,8 +207,9 @@ def fit(
     columns = np.sort(buckets[order])
     if not len(columns):
         return nothing
-    p = _sample(both.where("positive"), columns, max_positive, int(n_p), bits)
-    u = _sample(both.where("NOT positive"), columns, max_unlabelled, int(n_u), bits)
+    others = tally["different_open" if unlabelled else "different_zeros"]
+    p = _sample(both.where("positive"), columns, max_positive, tally["different_ones"], bits)
+    u = _sample(both.where("NOT positive"), columns, max_unlabelled, others, bits)
     rng, fits = np.random.default_rng(seed), []
     for _ in range(members):
         half = rng.permutation(len(u))[: max(1, (len(u) + 1) // 2)]
@@ -227,8 +234,10 @@ def score(docs: DataFrame, text_col: str, model: Model, out: str = "toxicity") -
 def with_labels(
     docs: DataFrame, id_col: str, labels: DataFrame, label_id: str, label_col: str, out: str
 ) -> DataFrame:
-    """Adds each document's label, null where there is none. Of several labels of an id the
-    largest counts; labels without id or value are left out."""
+    """Adds each document's label as ``out``, null where there is none, in place of a column of
+    that name. Of several labels of an id the largest counts; labels without id or value are left
+    out."""
+    docs = docs.drop(out)
     given = labels.where(f"`{label_id}` IS NOT NULL AND `{label_col}` IS NOT NULL")
     one = settled(
         given.groupBy(F.col(f"`{label_id}`").alias(id_col)).agg(F.max(f"`{label_col}`").alias(out))

@@ -5,9 +5,11 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from subjectloom.llm import toxicity
 from subjectloom.llm.toxicity import fit, fit_linear, score, with_labels
+from subjectloom.session import fresh_path, written
 
 
 def risk(w, b, p, u, prior):
@@ -110,3 +112,37 @@ def test_query_on_held_out_documents(spark):
     clean = [p for p, t in judged if t == 0]
     assert sum(caught) / len(caught) > 0.85
     assert sum(clean) / len(clean) < 0.06
+
+
+def test_texts_repeated_very_often(spark):
+    """The sample is of different texts, so it holds them all where there are few."""
+    import corpus_pipeline
+
+    copies = spark.range(400_000).select(
+        (F.col("id") + 1000).alias("doc_id"),
+        F.concat(F.lit("plain text "), (F.col("id") % 3).cast("string")).alias("text"),
+        F.lit(None).cast("int").alias("label"),
+    )
+    toxic = spark.range(100).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("vile nasty "), F.col("id").cast("string")).alias("text"),
+        F.lit(1).alias("label"),
+    )
+    rows = copies.union(toxic)
+    model = fit(rows, "text", "label")
+    scores = model.score(pd.Series(["vile nasty thing", "plain text 1"]))
+    assert scores[0] >= 0.5 > scores[1]
+    some = rows.where("doc_id < 40000")
+    folder = fresh_path(spark, "repeated")
+    toxic.select("doc_id", F.lit(1).alias("quality"), F.col("label").alias("toxic")).write.parquet(
+        f"{folder}/labels.parquet")
+    left = corpus_pipeline.without_toxic(spark, written(some.select("doc_id", "text"), "docs"), folder)
+    assert left.where("doc_id < 1000").count() == 0
+    assert left.count() == some.count() - 100
+
+
+def test_label_column_of_the_documents_gives_way(spark, frame):
+    docs = frame([(1, "own"), (2, "own")], "doc_id long, toxic string")
+    labels = frame([(1, 0), (1, 1), (3, 1)], "doc_id long, toxic int")
+    got = with_labels(docs, "doc_id", labels, "doc_id", "toxic", "toxic").collect()
+    assert {(r["doc_id"], r["toxic"]) for r in got} == {(1, 1), (2, None)}
