@@ -9,9 +9,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from subjectloom.llm import mixing, toxicity
-from subjectloom.session import written
+from subjectloom.session import noting, written
 from tests.llm.test_jaccard_join import plain as plain_groups
-from tests.llm.test_line_dedup import plain as plain_lines
+from tests.llm.test_line_dedup import brute as plain_lines
 from tests.llm.test_mixing import level_by_steps
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -94,3 +94,21 @@ def test_odd_rows_pass_every_stage(spark, small, frame):
 def test_empty_documents(spark, small, name):
     empty = spark.createDataFrame([], ", ".join(SCHEMA.split(", ")[:5]))
     assert dict(P.STAGES)[name](spark, empty, small).count() == 0
+
+
+def test_runs_do_not_disturb_each_other(spark, small, monkeypatch):
+    """Stages built before either is written, and a run meanwhile, read what they need; a run
+    leaves nothing but its result."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(60)
+    stages = dict(P.STAGES)
+    first = stages["line_dedup"](spark, docs, small)
+    second = stages["line_dedup"](spark, docs, small)
+    other = stages["near_duplicates"](spark, docs, small)
+    with noting() as made:
+        result = P.run(spark, small)
+    assert result.count() > 0
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    store = place(made[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert [p for p in made if store.exists(place(p))] == [result.shared_path]
+    assert first.count() == second.count() > 0
+    assert other.count() > 0
