@@ -18,6 +18,7 @@ from subjectloom.operators import sampling
 from subjectloom.operators.encoding import encode_with, feature_stages, projection_stages
 from subjectloom.operators.neighbors import nearest_neighbors, neighbor_vote
 from subjectloom.operators.one_vs_rest import fit_one_vs_rest
+from subjectloom.operators.sparse_neighbors import nearest_sparse
 from subjectloom.operators.splitting import split_random
 from subjectloom.plans.catalog import query, with_ctes
 from subjectloom.plans.cleaning import CLEAN_CTES
@@ -33,11 +34,14 @@ from subjectloom.plans.frames import (
     table,
     texts,
     vectors,
+    with_words,
 )
 from subjectloom.session import fresh_path, written
 from subjectloom.sources.model_store import load_model, load_models, save_model
 
 N_FEATURES = 256
+#: Columns of hashed terms where vectors stay sparse, so that hardly any two terms share one.
+SPARSE_FEATURES = 1 << 18
 
 _VOCAB = "classes(class_idx, label) AS (VALUES " + ", ".join(
     f"({i}, '{c}')" for i, c in enumerate(VECTOR_CLASSES)
@@ -168,6 +172,70 @@ def knn_vote(spark, sf_dir):
     return long_scores(votes, "query_id").withColumn("score", F.round("score", 6))
 
 
+def weighted_words(spark, sf_dir) -> DataFrame:
+    """``(id, terms)``: each document's words with tf-idf weights, of unit length."""
+    df = texts(spark, sf_dir)
+    n = df.count()
+    words = with_words(df).select("doc_id", F.explode("words").alias("term"))
+    counts = written(words.groupBy("doc_id", "term").agg(F.count("*").alias("tf")), "counts")
+    rarity = written(counts.groupBy("term").agg(
+        F.log(F.lit(n + 1.0) / (F.count("*") + 1)).alias("rarity")
+    ), "rarity")
+    weighed = counts.join(rarity, "term").groupBy("doc_id").agg(F.array_sort(F.collect_list(
+        F.struct("term", (F.col("tf") * F.col("rarity")).alias("w"))
+    )).alias("terms"))
+    length = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda a, c: a + c["w"] * c["w"]))
+    unit = F.transform("terms", lambda c: F.struct(c["term"], (c["w"] / length).alias("w")))
+    nothing = F.array().cast("array<struct<term:string,w:double>>")
+    return df.select("doc_id").join(weighed.select("doc_id", unit.alias("unit")), "doc_id", "left") \
+        .select(F.col("doc_id").alias("id"), F.coalesce(
+            F.filter("unit", lambda c: c["w"] > 0), nothing).alias("terms"))
+
+
+@query("knn_sparse_topk", """
+WITH val AS (
+  SELECT doc_id FROM documents
+  QUALIFY row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) <= ceil(0.2 * count(*) OVER ())),
+counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(list_filter(
+      regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: w <> '')) AS term
+    FROM documents) GROUP BY ALL),
+rarity AS (
+  SELECT term, ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1)) AS rarity
+  FROM counts GROUP BY term),
+weighed AS (SELECT doc_id, term, tf * rarity AS w FROM counts JOIN rarity USING (term)),
+lengths AS (SELECT doc_id, sqrt(sum(w * w)) AS length FROM weighed GROUP BY doc_id),
+unit AS (
+  SELECT doc_id, term, w / length AS w, doc_id IN (SELECT doc_id FROM val) AS is_val
+  FROM weighed JOIN lengths USING (doc_id) WHERE w > 0),
+squares AS (
+  SELECT d.doc_id, d.doc_id IN (SELECT doc_id FROM val) AS is_val,
+         coalesce(sum(w * w), 0) AS square
+  FROM documents d LEFT JOIN unit USING (doc_id) GROUP BY d.doc_id),
+dots AS (
+  SELECT q.doc_id AS query_id, t.doc_id AS neighbor_id, sum(q.w * t.w) AS dot
+  FROM unit q JOIN unit t ON q.term = t.term AND q.is_val AND NOT t.is_val GROUP BY ALL),
+pairs AS (
+  SELECT q.doc_id AS query_id, t.doc_id AS neighbor_id,
+         sqrt(abs(greatest(round(q.square + t.square - 2 * coalesce(dot, 0), 12), 0))) AS distance
+  FROM squares q JOIN squares t ON q.is_val AND NOT t.is_val
+  LEFT JOIN dots d ON d.query_id = q.doc_id AND d.neighbor_id = t.doc_id)
+SELECT query_id, neighbor_id, rank::INT AS rank, round(distance, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 9), neighbor_id)
+    AS rank FROM pairs) WHERE rank <= 5""")
+def knn_sparse_topk(spark, sf_dir):
+    """Neighbours of texts by their weighted words, over the whole vocabulary."""
+    rows = written(split_random(weighted_words(spark, sf_dir), "id"), "weighted-words")
+    train = rows.where("split = 'train'").select(
+        "id", "terms", F.array().cast("array<string>").alias("labels")
+    )
+    found = nearest_sparse(rows.where("split = 'val'").select("id", "terms"), train, 5)
+    return found.select(
+        "query_id", "neighbor_id", "rank", F.round("distance", 6).alias("distance")
+    )
+
+
 # --- clusters ------------------------------------------------------------------------------
 
 _CLUSTERS = """
@@ -229,7 +297,9 @@ def kmeans_majority_predict(spark, sf_dir):
 
 # --- fitted models -------------------------------------------------------------------------
 
-def embedded(spark, sf_dir, pca_components: int | None = None) -> DataFrame:
+def embedded(
+    spark, sf_dir, pca_components: int | None = None, n_features: int = N_FEATURES
+) -> DataFrame:
     """Clean text, encoded once and written, so that fits and scores read vectors only."""
     rows = split_random(subject_sets(spark, sf_dir), "doc_id")
     df = rows.select(
@@ -237,7 +307,7 @@ def embedded(spark, sf_dir, pca_components: int | None = None) -> DataFrame:
         "labels", multi_hot(F.col("labels"), CLASSES).alias("y"), "split",
     )
     clean = written(df, "clean-split", partition_by="split")
-    encoder = feature_stages("text_clean", N_FEATURES, pca_components).fit(
+    encoder = feature_stages("text_clean", n_features, pca_components).fit(
         clean.where("split = 'train'")
     )
     encoded = encoder.transform(clean).select("id", "features", "labels", "y", "split")
@@ -326,9 +396,9 @@ def score_matrix(spark, sf_dir):
     )
 
 
-def _fit_and_check(name, **params):
+def _fit_and_check(name, n_features=N_FEATURES, **params):
     def run(spark, sf_dir):
-        train, val = sides(embedded(spark, sf_dir))
+        train, val = sides(embedded(spark, sf_dir, n_features=n_features))
         return fitted_facts(N.fit_model(name, train, CLASSES, **params).score(val))
 
     return run
@@ -337,6 +407,7 @@ def _fit_and_check(name, **params):
 query("tree_fit_score", _FITTED)(_fit_and_check("decision_tree"))
 query("logreg_fit_score", _FITTED)(_fit_and_check("transformer"))
 query("mlp_fit_score", _FITTED)(_fit_and_check("neural_net"))
+query("knn_text_fit_score", _FITTED)(_fit_and_check("knn", SPARSE_FEATURES))
 
 
 @query("knn_fit_score", with_ctes(VECTORS, _KNN, _VOCAB, """
