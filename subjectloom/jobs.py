@@ -21,7 +21,7 @@ from subjectloom.operators.encoding import Encoder, encode_with, feature_stages
 from subjectloom.operators.ensembles import hard_vote, soft_vote, stack_models
 from subjectloom.operators.models import Model, fit_model
 from subjectloom.operators.sampling import sample_exact
-from subjectloom.operators.splitting import SEED, TEST_SIZE, split_stratified
+from subjectloom.operators.splitting import SEED, TEST_SIZE, split_balanced
 from subjectloom.operators.tokens import lemmatize_tokens, stem_tokens
 from subjectloom.operators.vocabulary import fixed_vocabulary, learn_vocabulary, vocabulary_list
 from subjectloom.session import written
@@ -97,7 +97,7 @@ def split(
         "id", text_col, L.subjects(F.col(label_col), categories).alias("labels")
     ).where(F.size("labels") > 0)
     kept = require_rows(kept, "the category filter")
-    sides = split_stratified(kept, "id", "labels", test_size, seed)
+    sides = split_balanced(kept, "id", "labels", test_size, seed)
     sinks.write_split(sides, f"{folder}/split")
     vocabulary = fixed_vocabulary(spark, categories)
     sinks.write_vocabulary(vocabulary, f"{folder}/vocabulary")

@@ -20,7 +20,7 @@ from subjectloom.plans.frames import (
     subject_sets,
     table,
 )
-from subjectloom.session import fresh_path
+from subjectloom.session import fresh_path, written
 from subjectloom.sources import readers, sinks
 
 
@@ -222,6 +222,30 @@ def split_stratified(spark, sf_dir):
     )
 
 
+@query("split_balanced", with_ctes(LABELLED, SUBJECTS, """
+sets AS (SELECT doc_id, string_agg(label, ' ' ORDER BY label) AS stratum
+         FROM label_rows GROUP BY doc_id)""") + """
+SELECT label, count(*) AS n_docs, count(DISTINCT stratum) AS n_sets, true AS keeps_share,
+       true AS has_val, (SELECT ceil(0.2 * count(*)) FROM documents)::BIGINT AS n_val
+FROM label_rows JOIN sets USING (doc_id) GROUP BY label""")
+def split_balanced(spark, sf_dir):
+    """Per label: whether its validation rows are within one row per label set that holds it of
+    a fifth, whether a label of five or more rows has one, and the size of the whole side."""
+    df = subject_sets(spark, sf_dir)
+    sides = written(splitting.split_balanced(df, "doc_id", "labels"), "sides")
+    rows = sides.select(
+        F.explode("labels").alias("label"), F.array_join("labels", " ").alias("stratum"), "split"
+    )
+    is_val = F.col("split") == "val"
+    n_val, n = F.count_if(is_val), F.count("*")
+    return rows.groupBy("label").agg(
+        n.alias("n_docs"), F.count_distinct("stratum").alias("n_sets"),
+        (F.abs(n_val - 0.2 * n) < 1 + F.count_distinct("stratum")).alias("keeps_share"),
+        ((n < 5) | (n_val > 0)).alias("has_val"),
+        F.lit(sides.where(is_val).count()).cast("long").alias("n_val"),
+    )
+
+
 @query("split_disjoint_check", with_ctes(LABELLED, SUBJECTS, _STRATIFIED) + """
 SELECT (SELECT count(*) FROM documents) AS n_docs, count(*) AS n_split_rows,
        count(DISTINCT doc_id) AS n_split_docs, 0::BIGINT AS n_on_both_sides,

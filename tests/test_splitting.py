@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,58 @@ def test_hash_split_moves_nothing(spark):
     assert abs(share - 0.2) < 0.03
     summary = P.split_summary(df).first()
     assert summary["train_samples"] + summary["val_samples"] == summary["total_samples"] == 5000
+
+
+def label_counts(rows):
+    total, val, sets = {}, {}, {}
+    for r in rows:
+        for x in set(r["labels"] or []):
+            total[x] = total.get(x, 0) + 1
+            val[x] = val.get(x, 0) + (r["split"] == "val")
+            sets.setdefault(x, set()).add(frozenset(r["labels"]))
+    return total, val, {x: len(s) for x, s in sets.items()}
+
+
+@pytest.mark.parametrize("max_sets", [P.MAX_SETS, 3])
+def test_balanced_split(spark, max_sets):
+    """Labels of rare label sets only get their validation rows, too."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(900):
+        labels = ["common"] if rng.random() < 0.7 else ["common", rng.choice("abcd")]
+        rows.append((i, labels, "x"))
+    for i in range(40):  # eight labels of five rows, each row of a label set of its own
+        rows.append((900 + i, [f"rare{i % 8}", f"own{i}"], "x"))
+    rows += [(950, [], "x"), (951, None, "x"), (952, ["a", "a", "common"], "x")]
+    df = spark.createDataFrame(rows, "id long, labels array<string>, stratum string")
+    got = P.split_balanced(df, "id", "labels", max_sets=max_sets)
+    assert got.columns == ["id", "labels", "stratum", "split"]
+    got = got.collect()
+    assert sorted(r["id"] for r in got) == [r[0] for r in rows]
+    total, val, sets = label_counts(got)
+    assert sum(r["split"] == "val" for r in got) == math.ceil(0.2 * len(rows))
+    if max_sets > 3:
+        for x, n in total.items():
+            assert abs(val[x] - 0.2 * n) < 1 + sets[x]
+            assert n < 5 or val[x] >= 1, x
+        assert abs(val["common"] - 0.2 * total["common"]) < 2
+        assert all(val[f"rare{i}"] == 1 for i in range(8))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_balanced_quotas(seed):
+    rng = random.Random(seed)
+    sets = {tuple(sorted(rng.sample("abcdefgh", rng.randint(1, 4)))): rng.choice([1, 1, 2, 3, 9, 50])
+            for _ in range(40)}
+    sets = sorted(sets.items())
+    quotas = P.balanced_quotas(sets, 0.2)
+    wanted = math.ceil(0.2 * sum(n for _, n in sets) - 1e-9)
+    assert sum(quotas) >= wanted
+    for (labels, n), q in zip(sets, quotas, strict=True):
+        assert math.floor(0.2 * n) <= q <= math.ceil(0.2 * n)
+    for x in "abcdefgh":
+        own = [(n, q) for (labels, n), q in zip(sets, quotas, strict=True) if x in labels]
+        if sum(n for n, _ in own) >= 5:
+            assert sum(q for _, q in own) >= 1
+    again = P.balanced_quotas(sets, 0.2)
+    assert again == quotas and P.balanced_quotas([], 0.2) == []
