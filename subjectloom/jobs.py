@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -54,9 +54,11 @@ def preprocess(
     lemmas: DataFrame | None = None,
     min_length: int = 2,
     fmt: str = "parquet",
-) -> None:
+    file_bytes: int | None = None,
+) -> dict[str, int]:
     """Corpus to the clean table ``(id, text_clean[, label])``: an exact seeded sample if one
-    is asked for, then cleaning, with stems or with the lemmas of a table."""
+    is asked for, then cleaning, with stems or with the lemmas of a table. Gives the numbers of
+    rows written, of blank texts and of missing labels among them, counted while writing."""
     if use_stem and lemmas is not None:
         raise ValueError("choose stems or lemmas, not both")
     df = corpus.select(*[c for c in (id_col, text_col, label_col) if c])
@@ -77,7 +79,14 @@ def preprocess(
         joined = F.array_join(X.drop_short(F.col("tokens"), min_length), " ")
         clean = words.select("id", joined.alias("text_clean"))
         clean = clean.join(df.select("id", *label), "id") if label else clean
-    sinks.write_clean(clean, path, fmt)
+    seen = Observation()
+    missing = F.count_if(F.col("label").isNull()) if label else F.count("*")
+    clean = clean.observe(
+        seen, F.count("*").alias("n_rows"), missing.alias("n_null_label"),
+        F.count_if(F.col("text_clean") == "").alias("n_blank"),
+    )
+    sinks.write_clean(clean, path, fmt, file_bytes)
+    return seen.get
 
 
 def split(
@@ -89,16 +98,32 @@ def split(
     label_col: str = "label",
     test_size: float = TEST_SIZE,
     seed: int = SEED,
-) -> None:
+    file_bytes: int | None = None,
+) -> dict[str, int]:
     """Clean table to ``folder/split`` (train and validation), ``folder/vocabulary`` and
-    ``folder/split_config``."""
+    ``folder/split_config``. Gives the numbers of rows read, of missing texts and labels, of rows
+    and labels kept, and of rows on either side, counted in passes that are made anyhow."""
     spark = clean.sparkSession
-    kept = drop_null_rows(clean, text_col, label_col).select(
+    loaded, left, put = Observation(), Observation(), Observation()
+    read = clean.observe(
+        loaded, F.count("*").alias("n_loaded"),
+        F.count_if(F.col(text_col).isNull()).alias("n_null_text"),
+        F.count_if(F.col(label_col).isNull()).alias("n_null_label"),
+    )
+    kept = drop_null_rows(read, text_col, label_col).select(
         "id", text_col, L.subjects(F.col(label_col), categories).alias("labels")
     ).where(F.size("labels") > 0)
-    kept = require_rows(kept, "the category filter")
+    kept = kept.observe(
+        left, F.count("*").alias("n_kept"), F.sum(F.size("labels")).alias("n_labels")
+    )
     sides = split_balanced(kept, "id", "labels", test_size, seed)
-    sinks.write_split(sides, f"{folder}/split")
+    if not left.get["n_kept"]:
+        require_rows(kept, "the category filter")
+    is_val = F.col("split") == "val"
+    sides = sides.observe(
+        put, F.count_if(~is_val).alias("n_train"), F.count_if(is_val).alias("n_val")
+    )
+    sinks.write_split(sides, f"{folder}/split", file_bytes=file_bytes)
     vocabulary = fixed_vocabulary(spark, categories)
     sinks.write_vocabulary(vocabulary, f"{folder}/vocabulary")
     config = sinks.split_config(
@@ -106,6 +131,7 @@ def split(
         text_col=text_col, label_col="label", seed=seed, test_size=test_size,
     )
     sinks.write_config(config, f"{folder}/split_config")
+    return {**loaded.get, **left.get, **put.get}
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -138,13 +164,16 @@ def train(
     pca_components: int | None = None,
     make_encoder: Callable[[], Encoder] | None = None,
     vectors: DataFrame | None = None,
+    encoding: str = "tfidf",
+    encoding_options: dict | None = None,
     use_stem: bool = False,
     min_length: int = 2,
     **params,
 ) -> None:
     """Fits the named models on ``folder/split`` and saves them under ``folder/models``. The
-    training texts are encoded once, for all of them: by TF-IDF stages fitted here, by an encoder
-    of the caller's (``make_encoder``), or not at all, with ready ``vectors (id, vector)``.
+    training texts are encoded once, for all of them: by stages fitted here (TF-IDF, or trained
+    word vectors with ``encoding='word2vec'``), by an encoder of the caller's (``make_encoder``), or
+    not at all, with ready ``vectors (id, vector)``.
 
     ``use_stem`` and ``min_length`` say how ``preprocess`` prepared the texts. They are saved, so
     that raw texts are prepared the same way before a TF-IDF encoder sees them.
@@ -156,7 +185,7 @@ def train(
     )
     vocabulary = vocabulary_list(learn_vocabulary(rows))
     rows = rows.withColumn("y", L.multi_hot(F.col("labels"), vocabulary))
-    kind = "tfidf"
+    kind = encoding
     if vectors is not None:
         kind = "vectors"
         ready = vectors.select("id", as_vector(F.col("vector")).alias("features"))
@@ -165,7 +194,9 @@ def train(
         kind = "plugged"
         featured = _plugged(rows, "text_clean", make_encoder)
     else:
-        encoder = feature_stages("text_clean", n_features, pca_components).fit(rows)
+        encoder = feature_stages(
+            "text_clean", n_features, pca_components, encoding, **(encoding_options or {})
+        ).fit(rows)
         encoder.write().overwrite().save(f"{folder}/encoder")
         featured = encoder.transform(rows)
     config = spark.createDataFrame([(kind, text_col, use_stem, min_length)], _ENCODER)
@@ -222,10 +253,19 @@ def predict(
     threshold: float = D.THRESHOLD,
     top_k: int = D.TOP_K,
     make_encoder: Callable[[], Encoder] | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
-    """``(id, scores, p, labels)`` of one saved model."""
+    """``(id, scores, p, labels)`` of one saved model. ``counts`` gets the numbers of rows, of rows
+    without a positive label, and of positive labels, when the result is first written."""
     model = load_model(spark, f"{folder}/models/{name.lower()}")
-    return _decided(model, encode(spark, folder, texts, text_col, make_encoder), threshold, top_k)
+    encoded = encode(spark, folder, texts, text_col, make_encoder)
+    decided = _decided(model, encoded, threshold, top_k)
+    if counts is None:
+        return decided
+    return decided.observe(
+        counts, F.count("*").alias("n_rows"), F.count_if(F.size("labels") == 0).alias("n_without"),
+        F.sum(F.size("labels")).alias("n_labels"),
+    )
 
 
 def _decided(model: Model, encoded: DataFrame, threshold: float, top_k: int) -> DataFrame:

@@ -16,6 +16,7 @@ from subjectloom.operators import clusters as C
 from subjectloom.operators import models as N
 from subjectloom.operators import sampling
 from subjectloom.operators.encoding import encode_with, feature_stages, projection_stages
+from subjectloom.operators.logistic import LinearModel
 from subjectloom.operators.neighbors import nearest_neighbors, neighbor_vote
 from subjectloom.operators.one_vs_rest import fit_one_vs_rest
 from subjectloom.operators.sparse_neighbors import nearest_sparse
@@ -199,7 +200,7 @@ WITH val AS (
 counts AS (
   SELECT doc_id, term, count(*) AS tf FROM (
     SELECT doc_id, unnest(list_filter(
-      regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: w <> '')) AS term
+      regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda w: w <> '')) AS term
     FROM documents) GROUP BY ALL),
 rarity AS (
   SELECT term, ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1)) AS rarity
@@ -372,6 +373,39 @@ def embed_tfidf(spark, sf_dir):
     )
 
 
+@query("embed_word2vec", with_ctes(*CLEAN_CTES, _VAL) + """
+SELECT d.lang, count(*) AS n_docs, count(*) FILTER (text_clean <> '') AS n_unit,
+       true AS near_ones_agree
+FROM documents d JOIN val USING (doc_id) JOIN clean USING (doc_id) GROUP BY d.lang""")
+def embed_word2vec(spark, sf_dir):
+    """Trained word vectors, averaged per text: per language how many validation texts there are,
+    how many have vectors of length one (the others have no words), and whether most of their
+    nearest training texts are of the same language."""
+    rows = split_random(subject_sets(spark, sf_dir), "doc_id")
+    clean = written(rows.select(
+        F.col("doc_id").alias("id"), normalize_text(F.col("text")).alias("text_clean"),
+        "labels", "split",
+    ), "clean-split")
+    train = clean.where("split = 'train'")
+    encoder = feature_stages("text_clean", kind="word2vec", vector_size=32, min_count=1).fit(train)
+    vectors = written(encoder.transform(clean).select(
+        "id", "labels", "split", X.as_array(F.col("features")).alias("embedding")
+    ), "word-vectors")
+    val = vectors.where("split = 'val'")
+    nearest = nearest_neighbors(val, vectors.where("split = 'train'"), 1)
+    lang = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
+    found = val.join(lang, "id").join(
+        nearest.select(F.col("query_id").alias("id"), "neighbor_labels"), "id", "left"
+    )
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    agree = F.avg(F.array_contains("neighbor_labels", F.col("lang")).cast("double"))
+    return found.groupBy("lang").agg(
+        F.count("*").alias("n_docs"),
+        F.count_if(F.abs(length - 1) < 1e-6).alias("n_unit"),
+        (agree > 0.5).alias("near_ones_agree"),
+    )
+
+
 @query("staged_fit", _FITTED)
 def staged_fit(spark, sf_dir):
     """Text to TF-IDF to principal components to a classifier."""
@@ -406,6 +440,47 @@ def _fit_and_check(name, n_features=N_FEATURES, **params):
 
 query("tree_fit_score", _FITTED)(_fit_and_check("decision_tree"))
 query("logreg_fit_score", _FITTED)(_fit_and_check("transformer"))
+@query("logreg_settled", with_ctes(_VAL, _GRID) + """
+SELECT class_idx, (SELECT count(*) FROM documents) - (SELECT count(*) FROM val) AS n_train,
+       true AS settled, true AS spoilt_fails FROM classes""")
+def logreg_settled(spark, sf_dir):
+    """Per class: whether the fit has no slope left, worked out anew cell by cell, and whether
+    the same question finds weights that are a little off."""
+    train, _ = sides(embedded(spark, sf_dir))
+    model = N.fit_logistic(train, CLASSES)
+    spoilt = LinearModel(model.vocabulary, model.weights * 0.98, model.constants)
+    good, bad = (largest_slope(m, train).alias(a) for m, a in ((model, "g"), (spoilt, "b")))
+    return good.join(bad, "class_idx").select(
+        "class_idx", F.col("g.n").alias("n_train"), (F.col("g.slope") < 1e-5).alias("settled"),
+        (F.col("b.slope") > 1e-5).alias("spoilt_fails"),
+    )
+
+
+def largest_slope(model: LinearModel, train: DataFrame) -> DataFrame:
+    """``(class_idx, n, slope)``: the largest part of the gradient of each label's penalised
+    mean loss, with C = 1."""
+    scored = model.score(train).select(
+        "id", "y", "scores", F.concat(X.as_array(F.col("features")), F.array(F.lit(1.0))).alias("x")
+    )
+    rows = written(scored.select("x", F.posexplode(F.arrays_zip("y", "scores")).alias(
+        "class_idx", "c")).select("x", "class_idx", "c.y", "c.scores"), "slopes")
+    sums = rows.groupBy("class_idx").agg(F.count("*").alias("n"), F.sum("y").alias("n_pos"))
+    rows = rows.join(F.broadcast(sums), "class_idx")
+    ones = F.col("y") > 0
+    weight = F.col("n") / (2.0 * F.when(ones, F.col("n_pos")).otherwise(F.col("n") - F.col("n_pos")))
+    pull = weight * (F.col("scores") - F.col("y")) / F.col("n")
+    cells = rows.select("class_idx", "n", pull.alias("pull"), F.posexplode("x").alias("place", "v"))
+    slopes = cells.groupBy("class_idx", "n", "place").agg(F.sum(F.col("pull") * F.col("v")).alias("s"))
+    held = train.sparkSession.createDataFrame(
+        [(i, p, w) for i, row in enumerate(model.weights.tolist()) for p, w in enumerate(row)],
+        "class_idx int, place int, w double",
+    )
+    whole = slopes.join(held, ["class_idx", "place"])
+    return whole.groupBy("class_idx", "n").agg(
+        F.max(F.abs(F.col("s") + F.col("w") / F.col("n"))).alias("slope")
+    )
+
+
 query("mlp_fit_score", _FITTED)(_fit_and_check("neural_net"))
 query("knn_text_fit_score", _FITTED)(_fit_and_check("knn", SPARSE_FEATURES))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from subjectloom import jobs
 from subjectloom.functions import decide as D
 from subjectloom.functions.labels import labels_of
 from subjectloom.operators.ensembles import hard_vote, soft_vote
@@ -217,6 +218,32 @@ def ensemble_hard_fallback(spark, sf_dir):
     )
 
 
+@query("stream_score_model", """
+SELECT count(*) AS n_docs, count(*) AS n_same, count(*) AS n_decided FROM documents""")
+def stream_score_model(spark, sf_dir):
+    """The documents table read as a stream and scored with a model that the jobs have trained
+    and saved: how many rows arrive, how many have the batch's scores, how many have labels."""
+    folder = fresh_path(spark, "trained")
+    rows = labelled(spark, sf_dir).select(F.col("doc_id").alias("id"), "text", "label")
+    jobs.preprocess(rows, f"{folder}/clean", label_col="label", id_col="id")
+    jobs.split(spark.read.parquet(f"{folder}/clean"), folder, categories=CLASSES)
+    jobs.train(spark, folder, ["transformer"], n_features=256)
+    stream = streaming.read_table(
+        spark, f"{sf_dir}/documents.parquet", documents(spark, sf_dir).schema
+    ).select(F.col("doc_id").alias("id"), "text")
+    out = fresh_path(spark, "scores")
+    jobs.stream(spark, folder, "transformer", stream, out, f"{out}-progress").awaitTermination()
+    batch = jobs.predict(spark, folder, "transformer", rows.select("id", "text"))
+    apart = F.exists(F.zip_with("a", "b", lambda x, y: F.abs(x - y)), lambda d: d > 1e-9)
+    both = spark.read.parquet(out).select("id", F.col("scores").alias("a"), "labels").join(
+        batch.select("id", F.col("scores").alias("b")), "id"
+    )
+    return both.agg(
+        F.count("*").alias("n_docs"), F.count_if(~apart).alias("n_same"),
+        F.count_if(F.size("labels") > 0).alias("n_decided"),
+    )
+
+
 @query("stream_score", with_ctes(*BASE, decided_sql("one", "d", "score >= 0.35::DOUBLE", 1))
        + _vector("d"))
 def stream_score(spark, sf_dir):

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subjectloom import jobs
 from subjectloom.functions.text import normalize_text
 from subjectloom.operators import sampling, splitting
 from subjectloom.plans.catalog import query, with_ctes
@@ -277,6 +278,43 @@ def sink_split_partitions(spark, sf_dir):
     )
 
 
+@query("sink_sized_split", with_ctes(LABELLED, SUBJECTS, _STRATIFIED) + """
+SELECT split, count(*) AS n_docs, sum(length(text))::BIGINT AS n_chars, true AS several_files,
+       true AS files_in_limit
+FROM strat_rows JOIN documents USING (doc_id) GROUP BY split""")
+def sink_sized_split(spark, sf_dir):
+    """Both sides in files of a stated size: what is read back of each, whether the larger one
+    fills several files, and whether all files keep to the limit."""
+    path, limit = fresh_path(spark, "sized-split"), 200_000
+    sinks.write_split(_stratified(spark, sf_dir), path, file_bytes=limit)
+    rows = sinks.read_split(spark, path).select(
+        "split", "text", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
+    )
+    return rows.groupBy("split").agg(
+        F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"),
+        ((F.col("split") == "val") | (F.count_distinct("file") > 1)).alias("several_files"),
+        (F.max("size") <= 1.5 * limit).alias("files_in_limit"),
+    )
+
+
+@query("job_counts", with_ctes(LABELLED, SUBJECTS) + """
+SELECT n_loaded, 0::BIGINT AS n_null_text, 0::BIGINT AS n_null_label, n_kept, n_labels,
+       (n_kept - ceil(0.2 * n_kept))::BIGINT AS n_train, ceil(0.2 * n_kept)::BIGINT AS n_val
+FROM (SELECT (SELECT count(*) FROM documents) AS n_loaded,
+       (SELECT count(DISTINCT doc_id) FROM label_rows WHERE label IN ('es', 'fr', 'q')) AS n_kept,
+       (SELECT count(*) FROM label_rows WHERE label IN ('es', 'fr', 'q')) AS n_labels)""")
+def job_counts(spark, sf_dir):
+    """What the split job tells of its stages, counted in the passes it makes anyhow."""
+    clean = labelled(spark, sf_dir).select(
+        F.col("doc_id").alias("id"), F.col("text").alias("text_clean"), "label"
+    )
+    told = jobs.split(clean, fresh_path(spark, "counted"), categories=("es", "fr", "q"))
+    names = ["n_loaded", "n_null_text", "n_null_label", "n_kept", "n_labels", "n_train", "n_val"]
+    return spark.createDataFrame([tuple(told[n] for n in names)],
+                                 ", ".join(f"{n} long" for n in names))
+
+
 @query("split_config", with_ctes(LABELLED, SUBJECTS, _STRATIFIED) + f"""
 SELECT '{' '.join(reversed(CLASSES))}' AS categories, 'text_clean' AS text_col,
        'label' AS label_col, 42::BIGINT AS seed, 0.2::DOUBLE AS test_size,

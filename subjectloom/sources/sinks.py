@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,21 +32,44 @@ TRAIN_CONFIG = T.StructType([
 ])
 
 
-def write_clean(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """A clean table as Parquet, or as CSV that other tools read back unchanged."""
-    writer = df.write.mode("overwrite")
+def _sized(df: DataFrame, file_bytes: int | None, *by: str) -> DataFrameWriter:
+    """A writer whose files hold about ``file_bytes`` of uncompressed rows at most. Rows are
+    dealt anew so that each side has few small files, a large side being dealt over several
+    tasks; how many rows a file may hold follows from the mean size of a row."""
+    if file_bytes is None:
+        return df.write.mode("overwrite")
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    size = F.lit(8 * len(df.columns))
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    mean = df.agg(F.avg(size)).first()[0] or 1.0
+    dealt = df.hint("rebalance", *[F.col(c) for c in by])
+    return dealt.write.mode("overwrite").option(
+        "maxRecordsPerFile", max(1, int(file_bytes / mean))
+    )
+
+
+def write_clean(
+    df: DataFrame, path: str, fmt: str = "parquet", file_bytes: int | None = None
+) -> None:
+    """A clean table as Parquet, or as CSV that other tools read back unchanged, in files of
+    about ``file_bytes`` at most if given."""
+    writer = _sized(df, file_bytes)
     if fmt == "csv":
         writer.options(header="true", quote='"', escape='"').csv(path)
     else:
         writer.format(fmt).save(path)
 
 
-def write_split(df: DataFrame, path: str, labels_col: str = "labels") -> None:
-    """Train and validation rows in one write, labels stored as one string."""
+def write_split(
+    df: DataFrame, path: str, labels_col: str = "labels", file_bytes: int | None = None
+) -> None:
+    """Train and validation rows in one write, labels stored as one string, in files of about
+    ``file_bytes`` at most if given."""
     stored = df.withColumn("label", F.array_join(labels_col, " "))
     if labels_col != "label":
         stored = stored.drop(labels_col)
-    stored.write.mode("overwrite").partitionBy("split").parquet(path)
+    _sized(stored, file_bytes, "split").partitionBy("split").parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from subjectloom import jobs
@@ -138,3 +139,45 @@ def test_own_encoder_and_ready_vectors(spark, folder, tmp_path):
     assert ready == own
     with pytest.raises(ValueError, match="not both"):
         jobs.train(spark, root, ["knn"], make_encoder=vowels, vectors=vectors)
+
+
+def test_counts_come_with_the_writing(spark, tmp_path):
+    rows = [(1, "One two three", "en.x"), (2, None, "fr.y"), (3, "!!", "de.z;en.x"), (4, "four", None),
+            (5, "five six", "zz.q")]
+    corpus = spark.createDataFrame(rows, "id long, text string, label string")
+    told = jobs.preprocess(corpus, f"{tmp_path}/clean", label_col="label", id_col="id",
+                           file_bytes=1000)
+    assert told == {"n_rows": 5, "n_null_label": 1, "n_blank": 2}
+    clean = spark.read.parquet(f"{tmp_path}/clean")
+    told = jobs.split(clean, str(tmp_path), categories=["en", "de", "fr"])
+    assert told == {"n_loaded": 5, "n_null_text": 0, "n_null_label": 1, "n_kept": 3, "n_labels": 4,
+                    "n_train": 2, "n_val": 1}
+    with pytest.raises(ValueError, match="category filter"):
+        jobs.split(clean, f"{tmp_path}/none", categories=["xx"])
+
+
+def test_predictions_are_counted(spark, folder):
+    texts = val(spark, folder).select("id", F.col("text_clean").alias("text"))
+    counts = Observation()
+    guesses = jobs.predict(spark, folder, "transformer", texts, counts=counts, top_k=0)
+    rows = guesses.collect()
+    assert counts.get == {"n_rows": 38, "n_without": sum(not r["labels"] for r in rows),
+                          "n_labels": sum(len(r["labels"]) for r in rows)}
+
+
+def test_trained_word_vectors(spark, folder, tmp_path):
+    """Models on trained word vectors are saved and used like those on TF-IDF."""
+    root = str(tmp_path)
+    for side in ("split", "vocabulary"):
+        spark.read.parquet(f"{folder}/{side}").write.partitionBy(
+            *(["split"] if side == "split" else [])).parquet(f"{root}/{side}")
+    jobs.train(spark, root, ["transformer"], encoding="word2vec",
+               encoding_options={"vector_size": 16, "min_count": 1, "partitions": 1, "rounds": 3})
+    texts = val(spark, folder).select("id", F.col("text_clean").alias("text"))
+    blank = spark.createDataFrame([(-1, None)], texts.schema)
+    rows = jobs.predict(spark, root, "transformer", texts.unionByName(blank)).collect()
+    assert len(rows) == 39 and all(r["labels"] for r in rows)
+    truth = {r["id"]: r["label"].split()[0] for r in val(spark, folder).collect()}
+    assert sum(truth[r["id"]] in r["labels"] for r in rows if r["id"] in truth) > 25
+    with pytest.raises(ValueError, match="no encoding"):
+        jobs.train(spark, root, ["transformer"], encoding="other")

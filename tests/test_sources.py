@@ -103,3 +103,26 @@ def test_bytes_that_are_no_text_are_dropped(spark, tmp_path):
     path.write_bytes(b"caf\xc3\xa9 \xff\xfebar\n\xff\nplain \xef\xbf\xbd kept\n")
     got = [r["text"] for r in R.scan_text_lines(spark, str(path)).collect()]
     assert got == ["café bar", "plain � kept"]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_files_keep_to_a_size(spark, tmp_path, fmt):
+    """Also where nine rows in ten are on one side."""
+    df = spark.range(5000).select(
+        "id", F.repeat(F.md5(F.col("id").cast("string")), 10).alias("text"),
+        F.array(F.lit("a")).alias("labels"),
+        F.when(F.col("id") % 10 == 0, "val").otherwise("train").alias("split"),
+    ).repartition(16)
+    limit = 100_000
+    path = f"{tmp_path}/{fmt}"
+    if fmt == "csv":
+        sinks.write_clean(df.select("id", "text"), path, "csv", limit)
+    else:
+        sinks.write_split(df, path, file_bytes=limit)
+    files = [(f.stat().st_size, str(f)) for f in (tmp_path / fmt).rglob("part-*")]
+    assert max(size for size, _ in files) <= 1.2 * limit
+    if fmt == "parquet":
+        back = sinks.read_split(spark, path)
+        assert back.count() == 5000 and back.where("split = 'val'").count() == 500
+        train = [size for size, f in files if "split=train" in f]
+        assert 10 <= len(train) <= 60
