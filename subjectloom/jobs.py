@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,16 @@ def _label_text(df: DataFrame, label_col: str) -> Column:
     return L.join_list(F.col(label_col)) if is_list else F.col(label_col)
 
 
+def _told(counts: Observation, *names: str) -> dict[str, int]:
+    """What was counted. Where Spark has found at run time that there are no rows, it leaves out
+    the rest of the plan and with it the counting."""
+    try:
+        found = counts.get
+    except Py4JJavaError:
+        found = {}
+    return {name: found.get(name) or 0 for name in names}
+
+
 def preprocess(
     corpus: DataFrame,
     path: str,
@@ -86,7 +97,7 @@ def preprocess(
         F.count_if(F.col("text_clean") == "").alias("n_blank"),
     )
     sinks.write_clean(clean, path, fmt, file_bytes)
-    return seen.get
+    return _told(seen, "n_rows", "n_null_label", "n_blank")
 
 
 def split(
@@ -117,7 +128,8 @@ def split(
         left, F.count("*").alias("n_kept"), F.sum(F.size("labels")).alias("n_labels")
     )
     sides = split_balanced(kept, "id", "labels", test_size, seed)
-    if not left.get["n_kept"]:
+    held = _told(left, "n_kept", "n_labels")
+    if not held["n_kept"]:
         require_rows(kept, "the category filter")
     is_val = F.col("split") == "val"
     sides = sides.observe(
@@ -131,7 +143,8 @@ def split(
         text_col=text_col, label_col="label", seed=seed, test_size=test_size,
     )
     sinks.write_config(config, f"{folder}/split_config")
-    return {**loaded.get, **left.get, **put.get}
+    read_counts = _told(loaded, "n_loaded", "n_null_text", "n_null_label")
+    return {**read_counts, **held, **_told(put, "n_train", "n_val")}
 
 
 def _stored(df: DataFrame) -> DataFrame:
