@@ -101,7 +101,7 @@ def _key(tokens: pa.Array, tags: pa.Array | None) -> pa.Array:
 def _replace_in_place(
     df: DataFrame, table: DataFrame, id_col: str, tokens_col: str, tags_col: str | None
 ) -> DataFrame:
-    """Looks all tokens of a batch up in one call."""
+    """Looks up each different token of a batch once, in a dictionary made once per task."""
     entries = table.toArrow().combine_chunks()
     known = _key(entries["token"], None if tags_col is None else entries["tag"])
     shared = df.sparkSession.sparkContext.broadcast(
@@ -113,12 +113,14 @@ def _replace_in_place(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, replacements = shared.value
+        table = dict(zip(names.to_pylist(), replacements.to_pylist(), strict=True))
         for batch in batches:
             lists = batch.column(tokens_col)
             tokens = lists.flatten()
             tags = None if tags_col is None else batch.column(tags_col).flatten()
-            found = pc.index_in(_key(tokens, tags), value_set=names)
-            new = pc.coalesce(replacements.take(found), tokens)
+            coded = _key(tokens, tags).dictionary_encode()
+            found = pa.array([table.get(k) for k in coded.dictionary.to_pylist()], pa.string())
+            new = pc.coalesce(found.take(coded.indices), tokens)
             sizes = pc.fill_null(pc.list_value_length(lists), 0)
             ends = pc.cumulative_sum(sizes)
             offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])

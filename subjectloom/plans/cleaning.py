@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from subjectloom.functions import stemming
 from subjectloom.functions import text as X
-from subjectloom.operators.tokens import distinct_tokens, lemmatize_tokens, stem_tokens
+from subjectloom.operators.tokens import lemmatize_tokens, stem_tokens
 from subjectloom.plans.catalog import query, with_ctes
 from subjectloom.plans.frames import table, texts
 from subjectloom.session import written
@@ -176,8 +176,16 @@ lemmas AS (
 def lemma_join(spark, sf_dir):
     """The lemma table is read off the corpus: a word in -s whose stem also occurs."""
     words = written(_word_frame(spark, sf_dir), "tokens")
-    vocabulary = distinct_tokens(words)
-    lemmas = vocabulary.select(
-        F.concat("token", F.lit("s")).alias("token"), F.col("token").alias("lemma")
-    ).join(vocabulary, "token").select("token", F.lit("n").alias("tag"), "lemma")
+    # A word counts for itself, and for the one it is the -s form of, in one aggregation.
+    itself, form = F.lit(1), F.lit(2)
+    parts = F.transform(F.array_distinct("tokens"), lambda t: F.array(
+        F.struct(t.alias("lemma"), itself.alias("as")),
+        F.struct(F.when(t.endswith("s"), t.substr(F.lit(1), F.length(t) - 1)).alias("lemma"),
+                 form.alias("as")),
+    ))
+    seen = words.select(F.explode(F.flatten(parts)).alias("one")).select("one.*")
+    both = seen.where("lemma IS NOT NULL").groupBy("lemma").agg(F.bit_or("as").alias("as"))
+    lemmas = both.where(F.col("as") == 3).select(
+        F.concat("lemma", F.lit("s")).alias("token"), F.lit("n").alias("tag"), "lemma"
+    )
     return _joined(lemmatize_tokens(words, lemmas, "doc_id"))
