@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,6 +20,8 @@ SMOOTHING = 0.5
 MAX_LANGUAGES = 1000
 #: Characters that are worked on at once.
 STEP = 1 << 18
+#: Counts that are multiplied at once.
+CELLS = 1 << 18
 
 UNKNOWN = "und"
 
@@ -49,18 +51,48 @@ class Model(NamedTuple):
     log_prior: np.ndarray
     bits: int
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its probability. Null texts, texts without a letter, and
-        any text where no language was learned, are unknown with score 0."""
-        if not self.languages or not text or not has_letter(text):
-            return UNKNOWN, 0.0
-        total = self.log_prior.copy()
-        for columns in grams(text, self.bits):
-            used, counts = np.unique(columns, return_counts=True)
-            total += counts @ self.log_prob[used]
-        total = np.exp(total - total.max())
-        best = int(total.argmax())
-        return self.languages[best], float(total[best] / total.sum())
+    def predict(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text and its probability; of equally likely ones the
+        first by name. Null texts, texts without a letter, and any text where no language was
+        learned, are unknown with score 0.
+
+        The texts' counts are rows of a sparse matrix, which is multiplied with the matrix of
+        log-probabilities about ``CELLS`` counts at a time.
+        """
+        texts = list(texts)
+        total = np.tile(self.log_prior, (len(texts), 1))
+        known = [bool(self.languages and t and has_letter(t)) for t in texts]
+        rows, used, counts, held = [], [], [], 0
+
+        def multiply() -> None:
+            cells = self.log_prob[np.concatenate(used)] * np.concatenate(counts)[:, None]
+            starts = np.cumsum([0, *[len(u) for u in used[:-1]]])
+            # A long text has several rows.
+            np.add.at(total, np.array(rows), np.add.reduceat(cells, starts, axis=0))
+
+        for row, text in enumerate(texts):
+            if not known[row]:
+                continue
+            for columns in grams(text, self.bits):
+                own = np.unique(columns, return_counts=True)
+                rows.append(row)
+                used.append(own[0])
+                counts.append(own[1])
+                held += len(own[0])
+                if held >= CELLS:
+                    multiply()
+                    rows, used, counts, held = [], [], [], 0
+        if rows:
+            multiply()
+        if not any(known):
+            return [(UNKNOWN, 0.0)] * len(texts)
+        best = total.argmax(axis=1)
+        share = np.exp(total - total.max(axis=1, keepdims=True))
+        share = share[np.arange(len(best)), best] / share.sum(axis=1)
+        return [
+            (self.languages[b], float(s)) if k else (UNKNOWN, 0.0)
+            for b, s, k in zip(best.tolist(), share.tolist(), known, strict=True)
+        ]
 
 
 def fit(
@@ -120,13 +152,14 @@ def fit(
 
 def identify(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
     """Adds ``lang_pred`` and ``lang_score``, in place of columns of those names; nothing but the
-    text is looked at, and all of it. Equal texts get equal answers."""
+    text is looked at, and all of it. Equal texts get equal answers, equally likely languages go
+    by name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         own = shared.value
-        return pd.DataFrame([own.predict(t) for t in texts], columns=["lang", "score"])
+        return pd.DataFrame(own.predict(texts), columns=["lang", "score"])
 
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "lang_score")]
     guess = predict(F.col(f"`{text_col}`").cast("string"))

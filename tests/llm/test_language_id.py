@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from subjectloom.llm import language_id
-from subjectloom.llm.language_id import Model, fit, grams, has_letter, identify
+from subjectloom.llm.language_id import Model, fit, grams, has_letter, identify, in_train_fold
 
 
 def held_out(doc_id):
@@ -55,7 +55,7 @@ def test_without_languages(spark):
     df = spark.createDataFrame([], "text string, lang string")
     model = fit(df, "text", "lang")
     assert model.languages == [] and identify(df, "text", model).count() == 0
-    assert Model.predict(model, "hello") == ("und", 0.0)
+    assert model.predict(["hello"]) == [("und", 0.0)] and model.predict([]) == []
 
 
 def test_too_many_languages(spark):
@@ -74,3 +74,64 @@ def test_query_on_held_out_documents(spark):
     assert sum(right) / len(right) > 0.98
     assert all(0 <= r["score"] <= 1 for r in got)
     assert all((r["lang_pred"] == "und") == (not has_letter(truth[r["doc_id"]]["text"])) for r in got)
+
+
+def plain_grams(text, bits):
+    """The columns of all n-grams, number by number."""
+    one, two, three, all_ = 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 2**32 - 1
+    c = [(ord(x) + 1) * one & all_ for x in text.lower()]
+    c = [x ^ x >> 15 for x in c]
+    pair = [(a * two & all_) ^ b for a, b in zip(c, c[1:])]
+    triple = [(a * three & all_) ^ b for a, b in zip(pair, c[2:])]
+    for found, factor in ((c, two), (pair, three), (triple, one)):
+        for x in found:
+            x = x * factor & all_
+            yield ((x ^ x >> 16) * two & all_) >> 32 - bits
+
+
+def plain_predict(model, text):
+    if not text or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    total = [float(x) for x in model.log_prior]
+    table = model.log_prob.tolist()
+    for column, n in Counter(plain_grams(text, model.bits)).items():
+        total = [a + n * b for a, b in zip(total, table[column])]
+    top = max(total)
+    share = [math.exp(x - top) for x in total]
+    return model.languages[total.index(top)], 1 / sum(share)
+
+
+@pytest.mark.parametrize("cells", [1 << 18, 100])
+def test_predictions_by_brute_force(spark, small, monkeypatch, cells):
+    """All of the smallest table, fitted and predicted number by number."""
+    monkeypatch.setattr(language_id, "CELLS", cells)
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    model = fit(docs.where(in_train_fold("doc_id")), "text", "lang")
+    count = {}
+    for r in rows:
+        if not held_out(r["doc_id"]):
+            count.setdefault(r["lang"], Counter()).update(plain_grams(r["text"], model.bits))
+    assert model.languages == sorted(count)
+    for j, lang in enumerate(model.languages):
+        total = sum(count[lang].values()) + 0.5 * 2**model.bits
+        for column in list(count[lang])[:500]:
+            want = math.log((count[lang][column] + 0.5) / total)
+            assert model.log_prob[column, j] == pytest.approx(want)
+    texts = [r["text"] for r in rows]
+    for (lang, score), text in zip(model.predict(texts), texts, strict=True):
+        want = plain_predict(model, text)
+        assert lang == want[0] and score == pytest.approx(want[1], abs=1e-9)
+    if cells > 1000:
+        got = {r["doc_id"]: r for r in language_id.op8_language_id(spark, small).collect()}
+        for r in rows:
+            want = plain_predict(model, r["text"])
+            assert got[r["doc_id"]]["lang_pred"] == want[0]
+            assert got[r["doc_id"]]["score"] == pytest.approx(want[1], abs=1e-9)
+
+
+def test_equally_likely_languages_go_by_name():
+    model = Model(["de", "en", "fr"], np.log(np.full((256, 3), 1 / 256)), np.log([0.25, 0.375, 0.375]), 8)
+    got = model.predict(["abc", None, "12"])
+    assert [lang for lang, _ in got] == ["en", "und", "und"]
+    assert [score for _, score in got] == [pytest.approx(0.375), 0.0, 0.0]
