@@ -146,3 +146,57 @@ def test_label_column_of_the_documents_gives_way(spark, frame):
     labels = frame([(1, 0), (1, 1), (3, 1)], "doc_id long, toxic int")
     got = with_labels(docs, "doc_id", labels, "doc_id", "toxic", "toxic").collect()
     assert {(r["doc_id"], r["toxic"]) for r in got} == {(1, 1), (2, None)}
+
+
+_ALL = 2**64 - 1
+
+
+def plain_columns(text, bits):
+    """Columns of a text's words and word beginnings, byte by byte."""
+    out = set()
+    lower = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    letters = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in lower)
+    for word in letters.split(b" "):
+        for part in {word, *(word[:k] for k in toxicity.PREFIXES)} if word else ():
+            x, power = 0, 1
+            for b in part:
+                x, power = (x + (b + 1) * power) & _ALL, power * 0x9E3779B97F4A7C15 & _ALL
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _ALL
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & _ALL
+            out.add((x ^ x >> 31) >> 64 - bits)
+    return out
+
+
+def test_columns_and_scores_by_brute_force(spark, small):
+    """Of all of the smallest table: the columns chosen, and every score of the query."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    model = toxicity.train_on_fold(docs, labels)
+    known = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    columns = {i: plain_columns(t, model.bits) for i, t in texts.items()}
+    fold = [i for i in texts if zlib.crc32(str(i).encode()) % 5]
+    sides = [[i for i in fold if known.get(i) == 1], [i for i in fold if known.get(i) is None]]
+    counts = [{}, {}]
+    for side, ids in enumerate(sides):
+        for i in ids:
+            for c in columns[i]:
+                counts[side][c] = counts[side].get(c, 0) + 1
+    (n_p, n_u), chosen = map(len, sides), []
+    for c in {*counts[0], *counts[1]}:
+        p, u = counts[0].get(c, 0), counts[1].get(c, 0)
+        in_p, in_u, pooled = (p + 0.5) / (n_p + 1), (u + 0.5) / (n_u + 1), (p + u + 0.5) / (n_p + n_u + 1)
+        sure = (in_p - in_u) / (pooled * (1 - pooled) * (1 / n_p + 1 / n_u)) ** 0.5
+        if sure >= toxicity.SURE and in_p >= toxicity.LIFT * in_u:
+            chosen.append((-sure, c))
+    assert model.columns.tolist() == sorted(c for _, c in sorted(chosen)[: toxicity.FEATURES])
+    weights = dict(zip(model.columns.tolist(), model.weights.tolist(), strict=True))
+    got = {r["doc_id"]: r for r in toxicity.op10_toxicity(spark, small).collect()}
+    assert set(got) == set(texts)
+    for i in texts:
+        sums = [float(b) for b in model.offsets]
+        for c in columns[i] & set(weights):
+            sums = [a + b for a, b in zip(sums, weights[c], strict=True)]
+        want = sum(1 / (1 + np.exp(-x)) for x in sums) / len(sums)
+        assert got[i]["score"] == pytest.approx(want, abs=1e-9)
+        assert got[i]["predicted"] == (got[i]["score"] >= 0.5)
