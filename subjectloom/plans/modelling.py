@@ -373,13 +373,16 @@ def embed_tfidf(spark, sf_dir):
     )
 
 
-@query("embed_word2vec", with_ctes(*CLEAN_CTES, _VAL) + """
-SELECT d.lang, count(*) AS n_docs, count(*) FILTER (text_clean <> '') AS n_unit,
-       true AS near_ones_agree
-FROM documents d JOIN val USING (doc_id) JOIN clean USING (doc_id) GROUP BY d.lang""")
+@query("embed_word2vec", with_ctes(*CLEAN_CTES, _VAL, """
+held AS (SELECT doc_id, unnest(string_split(text_clean, ' ')) AS word FROM clean
+         WHERE text_clean <> ''),
+known AS (SELECT DISTINCT word FROM held WHERE doc_id NOT IN (SELECT doc_id FROM val)),
+told AS (SELECT DISTINCT doc_id FROM held JOIN known USING (word))""") + """
+SELECT d.lang, count(*) AS n_docs, count(told.doc_id) AS n_unit, true AS near_ones_agree
+FROM documents d JOIN val USING (doc_id) LEFT JOIN told USING (doc_id) GROUP BY d.lang""")
 def embed_word2vec(spark, sf_dir):
     """Trained word vectors, averaged per text: per language how many validation texts there are,
-    how many have vectors of length one (the others have no words), and whether most of their
+    how many have vectors of length one (the others hold no word of a training text), and whether most of their
     nearest training texts are of the same language."""
     rows = split_random(subject_sets(spark, sf_dir), "doc_id")
     clean = written(rows.select(
