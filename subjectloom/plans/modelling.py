@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from subjectloom.plans.cleaning import CLEAN_CTES
 from subjectloom.plans.frames import (
     BITS,
     CLASSES,
+    LABELLED,
+    SUBJECTS,
     VECTOR_CLASSES,
     VECTORS,
     bits,
@@ -443,6 +446,67 @@ def _fit_and_check(name, n_features=N_FEATURES, **params):
 
 query("tree_fit_score", _FITTED)(_fit_and_check("decision_tree"))
 query("logreg_fit_score", _FITTED)(_fit_and_check("transformer"))
+
+#: Letters of a hundred characters are counted so far, which leaves few different values.
+MOST_PER_HUNDRED = 20
+_NAMED = "classes(class_idx, label) AS (VALUES " + ", ".join(
+    f"({i}, '{c}')" for i, c in enumerate(CLASSES)
+) + ")"
+
+
+@query("tree_best_split", with_ctes(LABELLED, SUBJECTS, _NAMED, f"""
+letters(feature, letter) AS (VALUES {", ".join(f"({i}, '{a}')" for i, a in enumerate(_ALPHABET))}),
+counted AS (
+  SELECT doc_id, feature, least({MOST_PER_HUNDRED},
+         100 * (length(t) - length(replace(t, letter, ''))) // greatest(length(t), 1)) AS v
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) CROSS JOIN letters),
+truth AS (
+  SELECT d.doc_id, c.class_idx, (r.doc_id IS NOT NULL)::INT AS y
+  FROM documents d CROSS JOIN classes c LEFT JOIN label_rows r USING (doc_id, label)),
+totals AS (SELECT class_idx, count(*) - sum(y) AS n0, sum(y) AS n1 FROM truth GROUP BY class_idx),
+cells AS (
+  SELECT class_idx, feature, v, sum(1 - y) AS c0, sum(y) AS c1
+  FROM counted JOIN truth USING (doc_id) GROUP BY class_idx, feature, v),
+known AS (SELECT DISTINCT feature, v FROM counted),
+sides AS (
+  SELECT class_idx, feature, v,
+         lead(v) OVER w AS above, sum(coalesce(c0, 0)) OVER w AS l0, sum(coalesce(c1, 0)) OVER w AS l1
+  FROM (known CROSS JOIN (SELECT class_idx FROM classes)) LEFT JOIN cells USING (class_idx, feature, v)
+  WINDOW w AS (PARTITION BY class_idx, feature ORDER BY v)),
+shares AS (
+  SELECT s.*, t.n0, t.n1, l0 / n0 AS a0, l1 / n1 AS a1, 1 - l0 / n0 AS b0, 1 - l1 / n1 AS b1
+  FROM sides s JOIN totals t USING (class_idx) WHERE above IS NOT NULL AND n0 > 0 AND n1 > 0
+    AND l0 + l1 > 0 AND l0 + l1 < n0 + n1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY class_idx ORDER BY round(
+      (a0 * a0 + a1 * a1) / (a0 + a1) / 2 + (b0 * b0 + b1 * b1) / (b0 + b1) / 2 - 0.5, 10) DESC,
+      feature, v) AS place
+  FROM shares)""") + """
+SELECT class_idx, feature, (v + above) / 2.0::DOUBLE AS "limit", l0::BIGINT AS l0, l1::BIGINT AS l1,
+       (n0 - l0)::BIGINT AS r0, (n1 - l1)::BIGINT AS r1
+FROM ranked WHERE place = 1""")
+def tree_best_split(spark, sf_dir):
+    """Per label, the first split of its tree over all documents, and what goes to either side.
+    Features are how many of a hundred characters are a certain letter."""
+    text = F.coalesce("text", F.lit(""))
+    share = [F.least(F.lit(MOST_PER_HUNDRED), F.floor(
+        F.lit(100) * (F.length(text) - F.length(F.replace(text, F.lit(a))))
+        / F.greatest(F.length(text), F.lit(1)))).cast("double") for a in _ALPHABET]
+    rows = subject_sets(spark, sf_dir).select(
+        array_to_vector(F.array(*share)).alias("features"),
+        multi_hot(F.col("labels"), CLASSES).alias("y"),
+    )
+    trees = N.fit_trees(rows, CLASSES, max_depth=1).trees
+    split = [
+        (i, int(trees.feature[i]), float(trees.limit[i]),
+         *(int(n[side[i]]) for side in (trees.left, trees.right) for n in (trees.n0, trees.n1)))
+        for i in range(len(CLASSES)) if trees.feature[i] >= 0
+    ]
+    return spark.createDataFrame(
+        split, "class_idx int, feature int, limit double, l0 long, l1 long, r0 long, r1 long"
+    )
+
+
 @query("logreg_settled", with_ctes(_VAL, _GRID) + """
 SELECT class_idx, (SELECT count(*) FROM documents) - (SELECT count(*) FROM val) AS n_train,
        true AS settled, true AS spoilt_fails FROM classes""")
