@@ -106,17 +106,21 @@ SCORERS = {
 }
 
 
-def _scores(tokens: Column, text: Column, model: str) -> Column:
+#: All marker words of all scorers.
+_MARKERS = sorted({w for *_, words in SCORERS.values() for names in words.values() for w in names})
+
+
+def _scores(tokens: Column, marks: Column, text: Column, model: str) -> Column:
     """Share of marker words per language, share of distinct words, share of non-letters."""
     scale, q_scale, t_scale, words = SCORERS[model]
     size = F.greatest(F.size(tokens), F.lit(1))
     one = F.lit(1.0)
 
     def marked(names: tuple[str, ...]) -> Column:
-        return F.size(F.filter(tokens, lambda w: w.isin(*names)))
+        return F.size(F.filter(marks, lambda w: w.isin(*names)))
 
     cells = [F.least(one, marked(words[c]) / size * scale) for c in ("de", "en", "es", "fr")]
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
+    letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
     other = (F.length(text) - letters) / F.greatest(F.length(text), F.lit(1))
     cells.append(F.least(one, F.size(F.array_distinct(tokens)) / size * q_scale))
     cells.append(F.least(one, other * t_scale))
@@ -128,12 +132,19 @@ def with_words(df: DataFrame) -> DataFrame:
     return df.withColumn("words", words)
 
 
+def _with_marks(df: DataFrame) -> DataFrame:
+    """``words`` and, picked from them once, those that are marker words, ``_marks``."""
+    return with_words(df).withColumn(
+        "_marks", F.filter("words", lambda w: w.isin(*_MARKERS))
+    )
+
+
 def lexical_scorer(model: str):
     """A stateless scorer: adds ``scores`` to any frame with ``text``, streaming or not."""
     def score(df: DataFrame) -> DataFrame:
-        return with_words(df).withColumn(
-            "scores", _scores(F.col("words"), F.col("text"), model)
-        ).drop("words")
+        return _with_marks(df).withColumn(
+            "scores", _scores(F.col("words"), F.col("_marks"), F.col("text"), model)
+        ).drop("words", "_marks")
 
     return score
 
@@ -149,9 +160,10 @@ def scored(spark: SparkSession, sf_dir: str, model: str = "both") -> DataFrame:
 def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, by_model)``: the scores of all scorers in name order, the text being read and
     split once and never moved."""
-    df = with_words(texts(spark, sf_dir))
+    df = _with_marks(texts(spark, sf_dir))
     models = F.array(*[
-        F.struct(F.lit(m).alias("model"), _scores(F.col("words"), F.col("text"), m).alias("scores"))
+        F.struct(F.lit(m).alias("model"),
+                 _scores(F.col("words"), F.col("_marks"), F.col("text"), m).alias("scores"))
         for m in sorted(SCORERS)
     ])
     return df.select("doc_id", models.alias("by_model"))

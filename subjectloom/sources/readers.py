@@ -15,6 +15,9 @@ SEPARATORS = (",", ";", "\t", "|")
 # Quoting as other tools write it (a quote inside a field is doubled).
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
+# A partition may hold so many times a core's share of the rows.
+UNEVEN = 2
+
 
 def scan_corpus(
     spark: SparkSession, path: str, text_col: str, label_col: str | None = None,
@@ -75,11 +78,17 @@ def scan_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame, id_col: str) -> DataFrame:
-    """For a bare scan with fewer partitions than there are cores, as of one small file: rows are
-    dealt out by id before costly work on texts. Larger scans are left as they are. Not for
+    """For a bare scan with fewer partitions than there are cores, as of one small file, or with
+    most rows in few of them, as of a large file in few row groups, which are never cut: rows are
+    dealt out by id before costly work on texts. Other scans are left as they are. Not for
     frames with a join in them: their partitions can only be counted by running it."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, id_col) if df.rdd.getNumPartitions() < cores else df
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if parts >= cores:
+        sizes = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+        told = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+        if not told["rows"] or told["most"] * cores <= UNEVEN * told["rows"]:
+            return df
+    return df.repartition(max(parts, cores), id_col)
 
 
 def filled(column: str) -> Column:

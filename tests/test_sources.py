@@ -126,3 +126,23 @@ def test_files_keep_to_a_size(spark, tmp_path, fmt):
         assert back.count() == 5000 and back.where("split = 'val'").count() == 500
         train = [size for size, f in files if "split=train" in f]
         assert 10 <= len(train) <= 60
+
+
+def test_rows_of_few_row_groups_are_dealt_out(spark, tmp_path):
+    """A file is cut by bytes, but its row groups go to one task each."""
+    cores = spark.sparkContext.defaultParallelism
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    df = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    df.coalesce(1).write.parquet(one)
+    df.repartition(2 * cores).write.parquet(many)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        for path, even in ((one, False), (many, True)):
+            scan = spark.read.parquet(path)
+            assert scan.rdd.getNumPartitions() >= cores
+            dealt = R.spread(scan, "id")
+            sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 4000 and max(sizes) * cores <= 2 * 4000
+            assert (dealt is scan) == even
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
